@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 
 from featuremill.functions.columns import sanitize_name
 
+# Fixed value: timestamp text written by the text sinks (microsecond precision).
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def sanitize_columns(df: DataFrame, old: str = ".", new: str = "_") -> DataFrame:
     """Rename every column, replacing ``old`` by ``new`` (pre-flattened sources carry
@@ -47,6 +50,10 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None
     """Write a table (Parquet by default). Column names are made legal for Parquet."""
     out = df.toDF(*[sanitize_name(c) if fmt == "parquet" else c for c in df.columns])
     writer = out.write.mode(mode).format(fmt)
+    if fmt in ("csv", "json"):
+        # text formats default to millisecond timestamps; keep every microsecond
+        writer = (writer.option("timestampFormat", TS_TEXT + "XXX")
+                  .option("timestampNTZFormat", TS_TEXT))
     if fmt == "csv":
         writer = writer.option("header", "true")
     if partition_by:
