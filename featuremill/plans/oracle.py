@@ -91,7 +91,7 @@ def main(argv):
     from featuremill.session import get_session
     sf_dir = "/root/testdata/sf0.01"
     keys = argv or list(all_queries())
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, driver_memory="16g")
     con = duckdb_views(sf_dir)
     bad = 0
     for k in keys:

@@ -20,12 +20,16 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, app: str = "featuremill",
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings above."""
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session with the settings above. ``driver_memory`` only takes
+    effect when this call starts the JVM (local mode: the driver is the executor)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
