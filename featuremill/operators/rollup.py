@@ -1,9 +1,15 @@
 """User features and the business-level review roll-up.
 
 ``review_rollup`` is the two-level aggregate of the original per-review joins: reviews
-are reduced once to (business, user) pairs -- partial aggregation on the map side, so a
-hot pair or a hot user costs one row per partition -- and every business measure is then
-a ratio of pair-level sums. One scan of the reviews, no join at review grain.
+are reduced to (business, user) pairs -- partial aggregation on the map side, so a hot
+pair or a hot user costs one row per partition -- and every business measure is then a
+ratio of pair-level sums. No join at review grain: the only join is pairs x users on the
+user key (AQE splits a hot user's pairs across tasks).
+
+The per-user useful average is a second, narrow aggregate read straight from the reviews
+(two columns, partial aggregation, one shuffle by user). Sharing the pair aggregate
+instead would need it materialised -- about one pair per review, so as large as the
+reviews themselves -- or a window per user, which puts a hot user in a single task.
 ``review_rollup_literal`` keeps the original plan (three aggregates joined back onto every
 review row) as the reference the rewrite is tested against.
 """
@@ -84,8 +90,7 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
         F.sum(funny).alias("_funny_sum"),
         F.sum(cool).alias("_cool_sum"),
     )
-    per_user = pair.groupBy(user).agg(
-        F.try_divide(F.sum("_useful_sum").cast("double"), F.sum("_useful_n")).alias("avg_useful"))
+    per_user = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
     u = users.select(user, *measures).join(per_user, user, "left")
     rows = pair.join(u, user, "left")
