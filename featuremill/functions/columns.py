@@ -40,7 +40,8 @@ def is_missing(c, dtype: DataType) -> Column:
     if isinstance(dtype, (DoubleType, FloatType)):
         return col.isNull() | F.isnan(col)
     if isinstance(dtype, StringType):
-        return col.isNull() | F.coalesce(F.isnan(cast_safe(col, "double")), F.lit(False))
+        # the only texts Spark's string-to-double cast turns into NaN (no parse attempt)
+        return col.isNull() | F.coalesce(F.lower(F.trim(col)).isin("nan", "+nan"), F.lit(False))
     return col.isNull()
 
 
