@@ -314,3 +314,23 @@ LEFT JOIN {rollup_sql()} r ON e.business_id = r.business_id"""
 @register("basetable_flagship", sql=flagship_sql)
 def q_flagship(spark, sf):
     return flagship(spark, sf)
+
+
+# -- streaming --------------------------------------------------------------------------
+
+@register("stream_activity_rollup", sql=lambda: f"SELECT * FROM {_checkin_sql()}")
+def q_stream_activity(spark, sf):
+    """Check-in features kept up to date by a stream over the orders files."""
+    from featuremill.session import scratch_path
+    from featuremill.streaming.activity import read_activity_features, refresh_activity
+    spec = checkin_spec()
+    schema = spark.read.parquet(f"{sf}/orders.parquet").schema  # footer only
+    source = f"{sf}/orders*.parquet"  # the stream source watches a directory or a glob
+    base = scratch_path(spark, "checkin-stream")
+
+    def prepare(s):
+        return s.select(F.col("o_custkey").alias("business_id"),
+                        F.col("o_orderdate").alias("date"))
+
+    refresh_activity(spark, source, schema, spec, f"{base}/state", f"{base}/checkpoint", prepare)
+    return read_activity_features(spark, f"{base}/state", spec)
