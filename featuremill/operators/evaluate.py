@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+def _score_counts(df: DataFrame, label: str, score: str, by) -> DataFrame:
     y = F.col(label).cast("double")
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("score"))
+            .groupBy(*by, F.col(score).cast("double").alias("score"))
             .agg(F.sum(F.when(y > 0.5, 1).otherwise(0)).cast("long").alias("pos"),
                  F.sum(F.when(y <= 0.5, 1).otherwise(0)).cast("long").alias("neg")))
 
@@ -43,11 +43,13 @@ def _bucket_edges(g: DataFrame, buckets: int) -> list:
 
 
 def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
-                      buckets: int | None = None) -> DataFrame:
-    """Per distinct score (descending): ``pos, neg`` at the score and ``tp, fp`` = positives
-    and negatives scored at least as high; plus totals ``n_pos, n_neg``."""
+                      buckets: int | None = None, by=()) -> DataFrame:
+    """Per group of ``by`` and distinct score (descending): ``pos, neg`` at the score and
+    ``tp, fp`` = positives and negatives scored at least as high; plus the group totals
+    ``n_pos, n_neg``."""
+    by = list(by)
     spark = df.sparkSession
-    g = _score_counts(df, label, score).persist()
+    g = _score_counts(df, label, score, by).persist()
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = _bucket_edges(g, buckets)
@@ -57,29 +59,30 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                         outputCol="_bucket", handleInvalid="keep").transform(g)
     else:
         gb = g.withColumn("_bucket", F.lit(0.0))
-    totals = gb.groupBy("_bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(1))
+    # (groups x buckets) rows: bounded by the bucket count per group
+    totals = gb.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    grp = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+    above = grp.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_bucket",
+        *by, "_bucket",
         F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_tp0"),
         F.coalesce(F.sum("_bn").over(above), F.lit(0)).alias("_fp0"),
-        F.sum("_bp").over(everything).alias("n_pos"),
-        F.sum("_bn").over(everything).alias("n_neg"))
-    within = (Window.partitionBy("_bucket").orderBy(F.col("score").desc())
+        F.sum("_bp").over(grp).alias("n_pos"),
+        F.sum("_bn").over(grp).alias("n_neg"))
+    within = (Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (gb.join(F.broadcast(offsets), "_bucket")
-            .select("score", "pos", "neg",
+    return (gb.join(F.broadcast(offsets), [*by, "_bucket"])
+            .select(*by, "score", "pos", "neg",
                     (F.col("_tp0") + F.sum("pos").over(within)).alias("tp"),
                     (F.col("_fp0") + F.sum("neg").over(within)).alias("fp"),
                     "n_pos", "n_neg"))
 
 
 def exact_auc(df: DataFrame, label: str = "label", score: str = "score",
-              buckets: int | None = None) -> DataFrame:
-    """One row ``(auc, n_pos, n_neg)``; ``auc`` is null when a class is absent."""
-    c = cumulative_counts(df, label, score, buckets)
-    return c.agg(
+              buckets: int | None = None, by=()) -> DataFrame:
+    """One row per group: ``(auc, n_pos, n_neg)``; ``auc`` is null when a class is absent."""
+    c = cumulative_counts(df, label, score, buckets, by)
+    return c.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("neg") * (F.col("tp") - 0.5 * F.col("pos"))),
                      F.first("n_pos").cast("double") * F.first("n_neg")).alias("auc"),
         F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"))
@@ -98,10 +101,11 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     return origin.unionByName(pts)
 
 
-def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows with ``label == prediction``, in one aggregate."""
+def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction",
+             by=()) -> DataFrame:
+    """Share of rows with ``label == prediction`` (per group of ``by``), one aggregate."""
     hit = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("double")
-    return df.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

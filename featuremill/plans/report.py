@@ -14,14 +14,16 @@ from featuremill.operators.evaluate import accuracy, exact_auc
 from featuremill.operators.split import hash_split
 
 
-def _metrics(model, data: DataFrame, name: str, split: str) -> DataFrame:
-    pred = M.scored(model, data)
-    auc = exact_auc(pred, "label", "p1").select("auc")
-    acc = accuracy(pred).select("accuracy", "n")
-    # both sides are one-row aggregates; join on a constant to put them side by side
-    return (auc.withColumn("_k", F.lit(1)).join(acc.withColumn("_k", F.lit(1)), "_k")
-            .select(F.lit(name).alias("model"), F.lit(split).alias("split"), "auc", "accuracy",
-                    "n"))
+def report(scored: DataFrame) -> DataFrame:
+    """``(model, split, auc, accuracy, n)`` for every (model, split) in one job."""
+    by = ["model", "split"]
+    return (exact_auc(scored, "label", "p1", by=by).join(accuracy(scored, by=by), by)
+            .select(*by, "auc", "accuracy", "n"))
+
+
+def _scored(model, data: DataFrame, name: str, split: str) -> DataFrame:
+    return M.scored(model, data).select(F.lit(name).alias("model"), F.lit(split).alias("split"),
+                                        "label", "prediction", "p1")
 
 
 def run_models(base: DataFrame, key: str = "business_id", target: str = "target",
@@ -56,9 +58,8 @@ def run_models(base: DataFrame, key: str = "business_id", target: str = "target"
             fitted[f"{name}_cv"] = cv.bestModel
     parts = []
     for name, model in fitted.items():
-        parts += [_metrics(model, train, name, "train"), _metrics(model, test, name, "test")]
+        parts += [_scored(model, train, name, "train"), _scored(model, test, name, "test")]
     if keep:
-        parts += [_metrics(fitted_sel, tr2, "rf_selected", "train"),
-                  _metrics(fitted_sel, te2, "rf_selected", "test")]
-    train.unpersist()
-    return reduce(DataFrame.unionByName, parts)
+        parts += [_scored(fitted_sel, tr2, "rf_selected", "train"),
+                  _scored(fitted_sel, te2, "rf_selected", "test")]
+    return report(reduce(DataFrame.unionByName, parts))
