@@ -19,15 +19,29 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB-class inputs). The initial shuffle partition
+# count is set high on purpose: AQE coalesces small partitions to the advisory size and
+# splits skewed ones at runtime, so 256 MB tasks come out at every stage.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def get_session(master: str | None = None, app: str = "featuremill",
                 shuffle_partitions: int | None = None, extra: dict | None = None,
-                driver_memory: str | None = None) -> SparkSession:
+                driver_memory: str | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the settings above. ``driver_memory`` only takes
     effect when this call starts the JVM (local mode: the driver is the executor)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:

@@ -148,3 +148,32 @@ def test_fill_defaults_by_type(spark):
                                "i int, d double, s string, b boolean, dt date")
     r = E.fill_defaults(df).first()
     assert (r.i, r.d, r.s, r.b, r.dt) == (0, 0.0, "0", None, None)
+
+
+def test_user_review_count_boundary(spark):
+    from featuremill.operators.rollup import user_features
+    df = spark.createDataFrame(
+        [(1, 29, 1, 1, 1, "2010-01-01 00:00:00", "", None), (2, 30, 1, 1, 1, None, "2015", "a"),
+         (3, 31, 1, 1, 1, "2015-06-01 12:00:00", "2015,2016", "a,b,c"),
+         (4, None, 1, 1, 1, None, None, None)],
+        "user_id int, review_count long, c1 long, c2 long, useful long, since string, "
+        "elite string, friends string")
+    out = user_features(df, ["c1", "c2"], vote_cols=["useful"], drop=())
+    r = out.collect()
+    assert [x.user_id for x in r] == [3]
+    assert r[0].received_compliments == 2 and r[0].given_votes == 1
+    assert r[0].elite_years == 1 and r[0].friend_count == 2
+    assert r[0].loyalty == round((1593561600 - 1433160000) / 2629743, 3)
+
+
+def test_encoders_fail_early(spark):
+    from featuremill.plans.entity import fit_entity_features
+    from featuremill.plans.standins import raw_business
+    from conftest import SF001
+    raw = raw_business(spark, SF001)
+    model = fit_entity_features(raw)
+    with pytest.raises(ValueError, match="attributes_WiFi"):
+        model.transform(raw.drop("attributes.WiFi"))
+    df = spark.createDataFrame([(1, "True", 0)], "id int, v string, flag int")
+    with pytest.raises(ValueError, match="overwrite"):
+        E.true_flag(df, "v", "flag")

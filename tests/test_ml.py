@@ -56,3 +56,19 @@ def test_run_models_report(spark):
     names = {r["model"] for r in rows}
     assert {"lr", "rf", "rf_tuned", "gbt", "gbt_tuned", "rf_selected"} <= names
     assert all(r["auc"] > 0.8 for r in rows if r["split"] == "train")
+
+
+def test_exact_metrics_agree_with_spark_evaluators(spark):
+    from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
+                                       MulticlassClassificationEvaluator)
+    from featuremill.operators.evaluate import accuracy
+    df = _separable(spark, 300).withColumn("x1", F.col("x1") + F.rand(9) * 3)
+    data = M.fit_features(df, "target").transform(df).select("features", "label")
+    pred = M.fit_lr(data).transform(data)
+    ours = M.positive_probability(pred)
+    exact = exact_auc(ours, "label", "p1").first()["auc"]
+    binned = BinaryClassificationEvaluator().evaluate(pred)
+    assert abs(exact - binned) < 1e-3
+    acc = accuracy(pred).first()["accuracy"]
+    mc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(pred)
+    assert abs(acc - mc) < 1e-12
