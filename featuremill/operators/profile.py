@@ -42,21 +42,23 @@ def value_counts(df: DataFrame, cols, count_of: str | None = None,
     return out
 
 
+def _missing_counts(df: DataFrame) -> DataFrame:
+    """One row: ``_n`` rows and ``_m{i}`` missing values of column ``i``."""
+    return df.agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType)).alias(f"_m{i}")
+        for i, f in enumerate(df.schema.fields)])
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """``(column_name, n_missing, n_rows, missing_share)`` for every column, one scan.
 
     Missing = null, or NaN in floating and string columns. ``missing_share`` is null for
     an empty table.
     """
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType)).alias(f"_m{i}")
-        for i, f in enumerate(fields)]
-    one = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"_m{i}").alias("n_missing"))
-        for i, f in enumerate(fields)])).alias("_r")
-    return one.select(F.col("_n").alias("n_rows"), rows).select(
+        for i, f in enumerate(df.schema.fields)])).alias("_r")
+    return _missing_counts(df).select(F.col("_n").alias("n_rows"), rows).select(
         "_r.column_name", "_r.n_missing", "n_rows",
         F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows")).alias("missing_share"))
 
@@ -82,10 +84,13 @@ def null_filter_table(df: DataFrame, max_share: float = 0.75) -> DataFrame:
 
 
 def fit_null_filter(df: DataFrame, max_share: float = 0.75) -> NullFilterSpec:
-    """One action; the result (one row per column) is bounded by the schema width."""
-    rows = {r["column_name"]: r["kept"] for r in null_filter_table(df, max_share).collect()}
-    kept = tuple(c for c in df.columns if rows[c] == 1)
-    removed = tuple(c for c in df.columns if rows[c] != 1)
+    """One action returning one row (as wide as the schema): the same rule as
+    ``null_filter_table``, applied on the driver to the per-column counts."""
+    row = _missing_counts(df).first()
+    n = row["_n"]
+    keep = [n == 0 or row[f"_m{i}"] / n <= max_share for i in range(len(df.columns))]
+    kept = tuple(c for c, k in zip(df.columns, keep) if k)
+    removed = tuple(c for c, k in zip(df.columns, keep) if not k)
     return NullFilterSpec(kept, removed, max_share)
 
 

@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -18,13 +19,16 @@ def duckdb_views(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}") + 0.0
+        return v + 0.0 if STRICT else float(f"{v:.12g}") + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
