@@ -4,8 +4,9 @@ The operators are written for business / check-in / tip / review / user / label
 The benchmark data is a TPC-H-like star schema, so each role is derived from it by one
 SELECT. The same SELECT text runs on Spark (direct parquet paths) and on DuckDB (the
 oracle's views), so both engines see identical inputs; only two date expressions differ
-by dialect. Token attributes are spread over the rows by residues of the key, and nulls
-are made with CASE, because the source tables hold no nulls.
+by dialect. Token attributes are spread over the rows by residues of the key (one array
+lookup per column), and nulls are made the same way or with CASE, because the source
+tables hold no nulls.
 """
 
 from __future__ import annotations
@@ -42,14 +43,19 @@ SPARK = Dialect("spark")
 DUCKDB = Dialect("duckdb")
 
 
-def _case_mod(key: str, m: int, values: list, else_value="NULL") -> str:
-    """CASE on ``key % m``: values[i] for residue i (a string is quoted, None is NULL)."""
-    def lit(v):
-        if v is None:
-            return "NULL"
-        return "'" + v.replace("'", "''") + "'"
-    arms = " ".join(f"WHEN {i} THEN {lit(v)}" for i, v in enumerate(values))
-    return f"CASE {key} % {m} {arms} ELSE {else_value} END"
+def _lit(v) -> str:
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+def _pick(d: Dialect, key: str, m: int, values: list) -> str:
+    """``values[key % m]`` (residues past the list give NULL), as one array lookup."""
+    vals = list(values) + [None] * (m - len(values))
+    if all(v is None for v in vals):
+        return "CAST(NULL AS STRING)"
+    items = ", ".join(_lit(v) for v in vals)
+    if d.name == "spark":
+        return f"element_at(array({items}), CAST({key} % {m} AS INT) + 1)"
+    return f"[{items}][CAST({key} % {m} AS INTEGER) + 1]"
 
 
 # Token vocabularies of the raw attribute columns (as the source spells them).
@@ -92,10 +98,10 @@ DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sun
 
 def business_sql(d: Dialect, sf_dir: str | None = None) -> str:
     seg = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SEGMENT_CATEGORIES.items())
-    attrs = ",\n  ".join(f"{_case_mod('c.c_custkey', m, vals)} AS {name}"
+    attrs = ",\n  ".join(f"{_pick(d, 'c.c_custkey', m, vals)} AS {name}"
                          for name, (m, vals) in _ATTRIBUTES.items())
     hours = ",\n  ".join(
-        f"{_case_mod(f'(c.c_custkey + {i})', 3, ['0:0-0:0', '9:0-17:0', None])} AS hours_{day}"
+        f"{_pick(d, f'(c.c_custkey + {i})', 3, ['0:0-0:0', '9:0-17:0', None])} AS hours_{day}"
         for i, day in enumerate(DAYS))
     return f"""SELECT c.c_custkey AS business_id,
   c.c_name AS name,
@@ -155,7 +161,7 @@ COMPLIMENTS = ("compliment_cool", "compliment_cute", "compliment_funny", "compli
 def user_sql(d: Dialect, sf_dir: str | None = None) -> str:
     comp = ",\n  ".join(f"(s_suppkey + {i}) % {i + 2} AS {c}" for i, c in enumerate(COMPLIMENTS))
     since = d.day_text("2005-01-01", "s_suppkey * 37 % 5000")
-    elite = _case_mod("s_suppkey", 5, ["", "None", "2015", "2015,2016,2017"])
+    elite = _pick(d, "s_suppkey", 5, ["", "None", "2015", "2015,2016,2017"])
     return f"""SELECT s_suppkey AS user_id, s_name AS name,
   CAST(floor(abs(s_acctbal) / 100) AS BIGINT) AS review_count,
   CAST(s_nationkey % 5 AS DOUBLE) + 0.5 AS average_stars,
