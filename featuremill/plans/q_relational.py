@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featuremill.functions.columns import cast_safe, sum_columns
-from featuremill.functions.predicates import flag_set, isin_any, not_true
+from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
 from featuremill.operators.basetable import label_table
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
-from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS,
-                                      LEISURE_CATEGORIES, PRICE, TRUE_FLAGS, WIFI,
-                                      candidate_rows, with_leisure_flag)
-from featuremill.plans.q_features import (_flag, _groups_sql, _in, _q, candidates_sql,
+from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS, PRICE,
+                                      TRUE_FLAGS, WIFI, candidate_rows, with_leisure_flag)
+from featuremill.plans.q_features import (_flag, _groups_sql, _q, candidates_sql,
                                           checkin_features, city_pivot_sql,
                                           frequent_cities_sql, leisure_sql, q_flagship,
                                           flagship_sql, _checkin_sql)
@@ -265,7 +264,7 @@ def _business_flagged(spark, sf):
 def _null_profile_sql():
     b = f"(SELECT * EXCLUDE (categories), {leisure_sql()} AS isLeisure FROM {T('business')})"
     # one text per column, in the stand-in's order after the leisure flag
-    cols = [c for c in _business_columns() if c != "categories"] + ["isLeisure"]
+    cols = [c for c in S.business_columns() if c != "categories"] + ["isLeisure"]
     parts = []
     for c in cols:
         if c in ("latitude", "longitude"):
@@ -280,12 +279,6 @@ def _null_profile_sql():
     return " UNION ALL ".join(parts)
 
 
-def _business_columns():
-    import re
-    sql = S.business_sql(S.DUCKDB)
-    return re.findall(r"AS (\w+)(?:,|\s*\n|\s*$)", sql.split("FROM")[0])
-
-
 @register("agg_null_profile", sql=_null_profile_sql)
 def q_null_profile(spark, sf):
     return P.null_profile(_business_flagged(spark, sf))

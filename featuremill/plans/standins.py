@@ -96,6 +96,13 @@ _SEGMENT_CATEGORIES = {
 DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
+def business_columns() -> list:
+    """Column names of the business stand-in, in order."""
+    return (["business_id", "name", "address", "city", "state", "postal_code", "latitude",
+             "longitude", "is_open", "categories"] + list(_ATTRIBUTES)
+            + [f"hours_{day}" for day in DAYS])
+
+
 def business_sql(d: Dialect, sf_dir: str | None = None) -> str:
     seg = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SEGMENT_CATEGORIES.items())
     attrs = ",\n  ".join(f"{_pick(d, 'c.c_custkey', m, vals)} AS {name}"
