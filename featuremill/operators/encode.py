@@ -212,3 +212,35 @@ def fill_defaults(df: DataFrame, number=0, text: str = "0") -> DataFrame:
     """Nulls in numeric columns -> ``number``; in string columns -> ``text``. Boolean,
     date and timestamp columns keep their nulls."""
     return df.fillna(number).fillna(text)
+
+
+# -- frequent values as one category column (no driver collect) ----------------------------
+
+@dataclass(frozen=True)
+class FrequentCategorySpec:
+    """Fitted spec: the frequent values of ``column`` live in a Parquet table under the
+    shared scratch folder; ``apply`` joins it, so nothing passes through the driver and
+    there is no cap on the number of values. The output is one column holding the value
+    or ``others`` -- Spark ML's formula turns it into a sparse one-hot vector."""
+    column: str
+    table: str
+    out: str
+    others: str = "others"
+
+    def apply(self, df: DataFrame, drop: bool = True) -> DataFrame:
+        _require(df, [self.column])
+        vals = df.sparkSession.read.parquet(self.table).select(F.col("value").alias("_fv"))
+        # an equi-join: AQE broadcasts the value table when its measured size is small and
+        # splits a hot value's partition otherwise
+        out = df.join(vals, df[self.column].cast("string") == vals["_fv"], "left")
+        out = out.withColumn(self.out, F.coalesce(F.col("_fv"), F.lit(self.others))).drop("_fv")
+        return out.drop(self.column) if drop and self.out != self.column else out
+
+
+def fit_frequent_category(df: DataFrame, c: str, min_count: int, path: str,
+                          count_of: str | None = None, out: str | None = None,
+                          others: str = "others") -> FrequentCategorySpec:
+    """Writes the values of ``c`` seen more than ``min_count`` times to ``path``."""
+    (frequent_values(df, c, min_count, count_of)
+     .select(F.col(c).cast("string").alias("value")).write.mode("overwrite").parquet(path))
+    return FrequentCategorySpec(c, path, out or f"{c}_group", others)

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremill.functions.predicates import flag_set, isin_any, not_true
-from featuremill.operators.encode import (FrequentOneHotSpec, TokenGroup, _flag,
+from featuremill.operators.encode import (FrequentCategorySpec, FrequentOneHotSpec,
+                                          TokenGroup, _flag, fit_frequent_category,
                                           fit_frequent_one_hot, one_hot_columns,
                                           quoted_variants, sentinel_class_columns,
                                           split_columns, true_flag_columns)
@@ -97,8 +98,9 @@ def candidate_rows(df: DataFrame) -> DataFrame:
             .drop(DELIVERY, TAKEOUT, IS_OPEN))
 
 
-def encoded_columns(city_spec: FrequentOneHotSpec) -> tuple[dict, list]:
-    """All encoder outputs as ``{name: Column}`` and the inputs they consume."""
+def encoded_columns(city_spec) -> tuple[dict, list]:
+    """All encoder outputs as ``{name: Column}`` and the inputs they consume (the city
+    columns only for the wide layout; the category layout is a join, see ``transform``)."""
     cols, used = {}, []
     for c, groups in TOKEN_GROUPS.items():
         cols.update(one_hot_columns(c, groups)); used.append(c)
@@ -106,7 +108,8 @@ def encoded_columns(city_spec: FrequentOneHotSpec) -> tuple[dict, list]:
         cols[out] = _flag(F.coalesce(F.col(c).contains("True"), F.lit(False))); used.append(c)
     for c, (out, null_out) in TRUE_FLAGS.items():
         cols.update(true_flag_columns(c, out, "True", null_out)); used.append(c)
-    cols.update(city_spec.columns()); used.append(city_spec.column)
+    if isinstance(city_spec, FrequentOneHotSpec):
+        cols.update(city_spec.columns()); used.append(city_spec.column)
     sat, sun = F.col("hours_Saturday"), F.col("hours_Sunday")
     cols["open_weekends"] = _flag(sat.isNotNull() | sun.isNotNull())
     for day in DAYS:
@@ -121,12 +124,12 @@ def encoded_columns(city_spec: FrequentOneHotSpec) -> tuple[dict, list]:
 @dataclass(frozen=True)
 class EntityFeaturesModel:
     null_filter: NullFilterSpec
-    city: FrequentOneHotSpec
+    city: FrequentOneHotSpec | FrequentCategorySpec
     trim: bool = True
 
     def required(self) -> list:
         _, used = encoded_columns(self.city)
-        return used + [DELIVERY, TAKEOUT, IS_OPEN]
+        return used + [DELIVERY, TAKEOUT, IS_OPEN, self.city.column]
 
     def transform(self, raw: DataFrame) -> DataFrame:
         df = self.null_filter.apply(with_leisure_flag(raw, trim=self.trim))
@@ -136,20 +139,38 @@ class EntityFeaturesModel:
                              f"null filter or absent): {missing}")
         df = candidate_rows(df)
         cols, used = encoded_columns(self.city)
-        return df.withColumns(cols).drop(*used, *[c for c in UNUSED if c in df.columns])
+        out = df.withColumns(cols).drop(*used, *[c for c in UNUSED if c in df.columns])
+        if isinstance(self.city, FrequentCategorySpec):
+            out = self.city.apply(out)
+        return out
 
 
 def fit_entity_features(raw: DataFrame, trim: bool = True,
                         null_share: float = NULL_SHARE_LIMIT,
                         min_city_count: int = FREQUENT_CITY_COUNT,
-                        key: str = "business_id") -> EntityFeaturesModel:
+                        key: str = "business_id", city_layout: str = "wide",
+                        city_table: str | None = None) -> EntityFeaturesModel:
     """Two bounded actions: the null profile (one row per column) and the frequent cities
-    of the candidate rows (at most rows / (min_city_count + 1) values)."""
+    of the candidate rows.
+
+    ``city_layout="wide"`` (the original table): one 0/1 column per frequent city plus
+    ``city_others``; the value list comes to the driver and more than 1,000 values is
+    refused. ``city_layout="category"`` (for large data): the frequent cities are written
+    to ``city_table`` and joined back as one ``city_group`` column, with no limit.
+    """
     flagged = with_leisure_flag(raw, trim=trim)
     nf = fit_null_filter(flagged, null_share)
     rows = candidate_rows(nf.apply(flagged))
-    city = fit_frequent_one_hot(rows, "city", min_city_count, prefix="city_",
-                                others="city_others", count_of=key)
+    if city_layout == "wide":
+        city = fit_frequent_one_hot(rows, "city", min_city_count, prefix="city_",
+                                    others="city_others", count_of=key)
+    elif city_layout == "category":
+        if not city_table:
+            raise ValueError("city_layout='category' needs city_table (a shared path)")
+        city = fit_frequent_category(rows, "city", min_city_count, city_table, count_of=key,
+                                     out="city_group")
+    else:
+        raise ValueError(f"unknown city_layout {city_layout!r}")
     return EntityFeaturesModel(nf, city, trim)
 
 

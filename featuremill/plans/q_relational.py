@@ -486,3 +486,15 @@ def q_fillna(spark, sf):
     c = checkin_features(spark, sf).select("business_id", "checkin_count", "avg_checkin_yr",
                                            F.lit("2000-01-01").cast("date").alias("last_day"))
     return E.fill_defaults(b.join(c, "business_id", "left"))
+
+
+@register("encode_frequent_category", sql=lambda: f"""
+SELECT business_id, CASE WHEN city IN {frequent_cities_sql()} THEN city ELSE 'others' END
+  AS city_group FROM {candidates_sql()}""")
+def q_frequent_category(spark, sf):
+    """The frequent-city encoding for large data: value table written to the shared
+    folder, joined back, one category column."""
+    rows = candidate_rows(_business_flagged(spark, sf)).select("business_id", "city")
+    spec = E.fit_frequent_category(rows, "city", 45, scratch_path(spark, "frequent-city"),
+                                   count_of="business_id")
+    return spec.apply(rows)

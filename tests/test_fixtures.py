@@ -177,3 +177,32 @@ def test_encoders_fail_early(spark):
     df = spark.createDataFrame([(1, "True", 0)], "id int, v string, flag int")
     with pytest.raises(ValueError, match="overwrite"):
         E.true_flag(df, "v", "flag")
+
+
+def test_frequent_category_matches_wide(spark):
+    from featuremill.session import scratch_path
+    data = [("A",)] * 44 + [("B",)] * 46 + [("St. John",)] * 47 + [(None,)] * 50
+    df = spark.createDataFrame([(i, c) for i, (c,) in enumerate(data)], "id int, city string")
+    wide = E.fit_frequent_one_hot(df, "city", 45, prefix="city_", others="city_others")
+    cat = E.fit_frequent_category(df, "city", 45, scratch_path(spark, "fc"))
+    w = {r["id"]: r for r in wide.apply(df, drop=False).collect()}
+    c = {r["id"]: r["city_group"] for r in cat.apply(df, drop=False).collect()}
+    assert len(c) == len(w)
+    for i, r in w.items():
+        expect = "others" if r["city_others"] == 1 else r["city"]
+        assert c[i] == expect
+
+
+def test_entity_category_layout(spark):
+    from featuremill.plans.entity import fit_entity_features
+    from featuremill.plans.standins import raw_business
+    from featuremill.session import scratch_path
+    from conftest import SF01
+    raw = raw_business(spark, SF01)
+    wide = fit_entity_features(raw).transform(raw)
+    cat = fit_entity_features(raw, city_layout="category",
+                              city_table=scratch_path(spark, "city")).transform(raw)
+    assert not [c for c in cat.columns if c.startswith("city_") and c != "city_group"]
+    assert cat.count() == wide.count()
+    per_group = {r[0]: r[1] for r in cat.groupBy("city_group").count().collect()}
+    assert per_group["others"] == wide.where("city_others = 1").count()
