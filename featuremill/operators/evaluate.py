@@ -6,15 +6,20 @@ task, so the running sums are computed in range buckets instead:
 
 1. ``groupBy(score)`` -> (pos, neg) per distinct score. A score shared by a third of the
    rows is one row from here on.
-2. Bucket edges = approximate quantiles of the distinct scores (at most ``buckets`` edges
-   reach the driver), so buckets hold similar numbers of distinct scores.
+2. Bucket edges = approximate quantiles of the raw scores: one map-only pass (a mergeable
+   sketch per partition, no shuffle), at most ``buckets`` edges reach the driver. A bucket
+   then holds about ``rows / buckets`` rows, hence at most that many distinct scores;
+   repeated edges (a hot score) collapse, and a score never straddles two buckets.
 3. Running sums inside each bucket (a window partitioned by bucket, so buckets run in
    parallel), plus an offset per bucket = the totals of all higher buckets, computed on the
-   bucket table (at most ``buckets + 1`` rows, broadcast back: its size is bounded by
-   construction).
+   bucket table. Without groups that table has at most ``buckets + 1`` rows and is
+   broadcast back (bounded by construction); with groups it has up to
+   ``groups x (buckets + 1)`` rows, which grows with the data, so that join is left to AQE
+   (a broadcast only when the measured size is small, else a shuffle join).
 
-The distinct-score table is persisted (memory and disk; recomputed from lineage if an
-executor is lost) because the quantile pass and the final pass both read it.
+Nothing is cached or written: the quantile pass and the final pass each read the input
+(callers with an expensive input, such as a large scored table, write it first), so a lost
+executor only reruns its own tasks and no cached block outlives the query.
 
 Ties count one half, so the AUC equals the Mann-Whitney statistic, not a binned estimate.
 """
@@ -34,11 +39,14 @@ def _score_counts(df: DataFrame, label: str, score: str, by) -> DataFrame:
                  F.sum(F.when(y <= 0.5, 1).otherwise(0)).cast("long").alias("neg")))
 
 
-def _bucket_edges(g: DataFrame, buckets: int) -> list:
+def _bucket_edges(df: DataFrame, label: str, score: str, buckets: int) -> list:
+    """Approximate ``1/buckets .. (buckets-1)/buckets`` quantiles of the scored rows."""
     if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]
-    edges = g.approxQuantile("score", probs, 1.0 / (4 * buckets))
+    rows = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+            .select(F.col(score).cast("double").alias("score")))
+    edges = rows.approxQuantile("score", probs, 1.0 / (4 * buckets))
     return sorted(set(edges))
 
 
@@ -49,10 +57,10 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
     ``n_pos, n_neg``."""
     by = list(by)
     spark = df.sparkSession
-    g = _score_counts(df, label, score, by).persist()
+    g = _score_counts(df, label, score, by)
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = _bucket_edges(g, buckets)
+    edges = _bucket_edges(df, label, score, buckets)
     if edges:
         # binary search in the JVM; equal scores always share a bucket
         gb = Bucketizer(splits=[float("-inf")] + edges + [float("inf")], inputCol="score",
@@ -71,7 +79,8 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
         F.sum("_bn").over(grp).alias("n_neg"))
     within = (Window.partitionBy(*by, "_bucket").orderBy(F.col("score").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (gb.join(F.broadcast(offsets), [*by, "_bucket"])
+    offsets = offsets if by else F.broadcast(offsets)
+    return (gb.join(offsets, [*by, "_bucket"])
             .select(*by, "score", "pos", "neg",
                     (F.col("_tp0") + F.sum("pos").over(within)).alias("tp"),
                     (F.col("_fp0") + F.sum("neg").over(within)).alias("fp"),
