@@ -4,7 +4,10 @@
 are reduced to (business, user) pairs -- partial aggregation on the map side, so a hot
 pair or a hot user costs one row per partition -- and every business measure is then a
 ratio of pair-level sums. No join at review grain: the only join is pairs x users on the
-user key (AQE splits a hot user's pairs across tasks).
+user key. A user who reviewed a large share of all businesses has that many pairs, so the
+join is salted (``operators.skew``): such a user's pairs are spread over many tasks by a
+hash of the business, and pairs without a user (which match nothing) are spread too. Hot
+users are found by one narrow count over the reviews' user column.
 
 The per-user useful average is a second, narrow aggregate read straight from the reviews
 (two columns, partial aggregation, one shuffle by user). Sharing the pair aggregate
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.columns import list_size, sum_columns
 from featuremill.functions.dates import tenure_months
+from featuremill.operators.skew import hot_keys, salted_left_join
 
 # Fixed value: the as-of time of user tenure.
 USER_ASOF = "2020-07-01 00:00:00"
@@ -73,12 +77,14 @@ def _wavg(x, weight):
 
 def review_rollup(review: DataFrame, users: DataFrame, business: str = "business_id",
                   user: str = "user_id", review_id: str = "review_id", stars: str = "stars",
-                  useful: str = "useful", funny: str = "funny", cool: str = "cool") -> DataFrame:
+                  useful: str = "useful", funny: str = "funny", cool: str = "cool",
+                  spread: int = 64, max_hot: int = 1000) -> DataFrame:
     """15 measures per business from reviews and (filtered) user features.
 
     users: one row per user with the measures named in ``ROLLUP_USER_MEASURES`` (as
     produced by ``user_features``). Reviews whose user is absent or filtered out still
     count for the review sums and ratings, and leave the user averages (avg skips nulls).
+    Users holding more than ``1 / max_hot`` of the reviews are joined over ``spread`` tasks.
     """
     pair = review.groupBy(business, user).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -93,7 +99,8 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
     per_user = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
     u = users.select(user, *measures).join(per_user, user, "left")
-    rows = pair.join(u, user, "left")
+    hot = hot_keys(review.select(user), user, max_hot)
+    rows = salted_left_join(pair, u, user, salt_from=[business], spread=spread, hot=hot)
 
     n = F.col("_n")
     # the pair's own average rating, for pairs with a user (null users never match)
