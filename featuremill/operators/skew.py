@@ -22,41 +22,63 @@ join here salts explicitly instead:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
+SALT, R_SALT = "_salt", "_salt_r"
+
+
+def _names(key) -> list:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def hot_keys(df: DataFrame, key: str, max_hot: int = 1000) -> DataFrame:
-    """``key`` values holding more than ``1 / max_hot`` of the rows of ``df`` (fewer than
-    ``max_hot`` rows)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+def hot_keys(df: DataFrame, key, max_hot: int = 1000) -> DataFrame:
+    """Values of ``key`` (a column name or a list of them) holding more than
+    ``1 / max_hot`` of the rows of ``df``: fewer than ``max_hot`` rows."""
+    keys = _names(key)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.select(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * F.lit(max_hot) > total).select(key)
-
-
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, salt_from,
-                     spread: int = 64, max_hot: int = 1000,
-                     hot: DataFrame | None = None) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` USING (``key``), with hot and null keys of ``left``
-    spread over ``spread`` tasks. The result is the plain left join's, row for row: a left
-    row carries one salt and meets every right row of its key exactly once (each is
-    repeated once per salt). ``salt_from`` names left columns that vary within a key (for
-    example the other half of a pair). ``right`` should be the smaller side: its hot
-    keys' rows are repeated ``spread`` times. ``hot``: the keys to spread (a
-    ``hot_keys`` table); by default the hot keys of ``left``."""
+    return counts.where(F.col("_rows") * F.lit(max_hot) > total).select(*keys)
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key, salt_from,
+                     spread: int = 64, max_hot: int = 1000, hot: DataFrame | None = None,
+                     right_key=None) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``key`` (a name or a list), with hot and null keys of
+    ``left`` spread over ``spread`` tasks. Without ``right_key`` the keys are joined by name
+    (one copy in the output, as a USING join); with it, ``left.key[i] = right.right_key[i]``
+    and both sides' columns are kept.
+
+    The result is the plain left join's, row for row: a left row carries one salt and meets
+    every right row of its key exactly once (each is repeated once per salt). ``salt_from``
+    names left columns that vary within a key (the other half of a pair, a row id).
+    ``right`` should be the smaller side: its hot keys' rows are repeated ``spread`` times.
+    ``hot``: the keys to spread (a ``hot_keys`` table); by default the hot keys of ``left``.
+    """
+    lk = _names(key)
+    rk = lk if right_key is None else _names(right_key)
     if spread <= 1:
-        return left.join(right, key, "left")
-    hot = hot if hot is not None else hot_keys(left, key, max_hot)
-    hot = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
-    spread_row = F.col("_hot") | F.col(key).isNull()
+        if right_key is None:
+            return left.join(right, lk, "left")
+        cond = reduce(and_, [left[a] == right[b] for a, b in zip(lk, rk)])
+        return left.join(right, cond, "left")
+    hot = hot if hot is not None else hot_keys(left, lk, max_hot)
+    hot = hot.select(*lk).withColumn("_hot", F.lit(True))
+    spread_row = reduce(or_, [F.col(c).isNull() for c in lk], F.col("_hot"))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(spread))
-    salted = (left.join(hot, key, "left")
+    salted = (left.join(F.broadcast(hot), lk, "left")
               .withColumn(SALT, F.when(spread_row, bucket).otherwise(F.lit(0)).cast("int"))
               .drop("_hot"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
         F.array(F.lit(0)))
-    repeated = (right.join(hot, key, "left")
-                .withColumn(SALT, F.explode(copies)).drop("_hot"))
-    return salted.join(repeated, [key, SALT], "left").drop(SALT)
+    repeated = (right.join(F.broadcast(hot.toDF(*rk, "_hot")), rk, "left")
+                .withColumn(R_SALT, F.explode(copies)).drop("_hot"))
+    if right_key is None:
+        return (salted.join(repeated.withColumnRenamed(R_SALT, SALT), [*lk, SALT], "left")
+                .drop(SALT))
+    cond = reduce(and_, [salted[a] == repeated[b] for a, b in zip(lk, rk)]
+                  + [salted[SALT] == repeated[R_SALT]])
+    return salted.join(repeated, cond, "left").drop(SALT, R_SALT)

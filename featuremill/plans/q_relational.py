@@ -9,6 +9,7 @@ from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
 from featuremill.operators.basetable import label_table
+from featuremill.operators.skew import salted_left_join
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
 from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS, PRICE,
@@ -110,7 +111,9 @@ def q_rename_join(spark, sf):
     avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("avg_ovr_rating"),
                                                F.count("review_id").alias("count_of_rating"))
              .withColumnRenamed("business_id", "business_id_2"))
-    out = review.join(avg_b, review["business_id"] == avg_b["business_id_2"], "left")
+    # a per-business figure joined back onto every review: a hot business is salted
+    out = salted_left_join(review, avg_b, "business_id", ["review_id"],
+                           right_key="business_id_2")
     return round_cols(out.select("review_id", "business_id", "stars", "avg_ovr_rating",
                                  "count_of_rating"), ["avg_ovr_rating"])
 
@@ -238,8 +241,9 @@ def q_left_composite(spark, sf):
     r = role(spark, sf, "review")
     a = (r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("avg_per_user_rating"))
          .withColumnRenamed("business_id", "business_id_3").withColumnRenamed("user_id", "user_id_2"))
-    out = r.join(a, (r["business_id"] == a["business_id_3"]) & (r["user_id"] == a["user_id_2"]),
-                 "left").select("review_id", "business_id", "user_id", "avg_per_user_rating")
+    out = salted_left_join(r, a, ["business_id", "user_id"], ["review_id"],
+                           right_key=["business_id_3", "user_id_2"])
+    out = out.select("review_id", "business_id", "user_id", "avg_per_user_rating")
     return round_cols(out, ["avg_per_user_rating"])
 
 

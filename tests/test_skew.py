@@ -128,3 +128,20 @@ def test_grouped_auc_joins_offsets_without_forced_broadcast(spark):
     assert "broadcast" not in p.lower()
     q = exact_auc(df, buckets=4)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in q.lower()
+
+
+def test_salted_join_composite_keys_with_other_names(spark):
+    """A hot (business, user) pair and null users; the right side names its keys apart."""
+    rows = [(1, 1, i) if i % 3 == 0 else (i % 50, None if i % 7 == 0 else i % 9, i)
+            for i in range(1500)]
+    left = spark.createDataFrame(rows, "b long, u long, rid long")
+    right = (left.groupBy("b", "u").agg(F.count(F.lit(1)).alias("n"))
+             .withColumnRenamed("b", "b2").withColumnRenamed("u", "u2"))
+    out = salted_left_join(left, right, ["b", "u"], ["rid"], spread=4, right_key=["b2", "u2"])
+    assert set(out.columns) == {"b", "u", "rid", "b2", "u2", "n"}
+    cond = (left["b"] == right["b2"]) & (left["u"] == right["u2"])
+    want = left.join(right, cond, "left")
+    cols = ["b", "u", "rid", "b2", "u2", "n"]
+    got_rows = sorted(map(tuple, out.select(*cols).collect()), key=repr)
+    want_rows = sorted(map(tuple, want.select(*cols).collect()), key=repr)
+    assert got_rows == want_rows and len(got_rows) == 1500
