@@ -44,6 +44,26 @@ def hot_keys(df: DataFrame, key, max_hot: int = 1000) -> DataFrame:
     return counts.where(F.col("_rows") * F.lit(max_hot) > total).select(*keys)
 
 
+def salt_sides(left: DataFrame, right: DataFrame, key, salt_from, spread: int = 64,
+               max_hot: int = 1000, hot: DataFrame | None = None, right_key=None):
+    """The two inputs of a salted equi-join: ``left`` with ``_salt`` and ``right`` with
+    ``_salt_r``; join them on the keys and ``_salt = _salt_r`` (for SQL over views)."""
+    lk = _names(key)
+    rk = lk if right_key is None else _names(right_key)
+    hot = hot if hot is not None else hot_keys(left, lk, max_hot)
+    hot = hot.select(*lk).withColumn("_hot", F.lit(True))
+    spread_row = reduce(or_, [F.col(c).isNull() for c in lk], F.col("_hot"))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(spread))
+    salted = (left.join(F.broadcast(hot), lk, "left")
+              .withColumn(SALT, F.when(spread_row, bucket).otherwise(F.lit(0)).cast("int"))
+              .drop("_hot"))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
+        F.array(F.lit(0)))
+    repeated = (right.join(F.broadcast(hot.toDF(*rk, "_hot")), rk, "left")
+                .withColumn(R_SALT, F.explode(copies)).drop("_hot"))
+    return salted, repeated
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, key, salt_from,
                      spread: int = 64, max_hot: int = 1000, hot: DataFrame | None = None,
                      right_key=None) -> DataFrame:
@@ -65,17 +85,7 @@ def salted_left_join(left: DataFrame, right: DataFrame, key, salt_from,
             return left.join(right, lk, "left")
         cond = reduce(and_, [left[a] == right[b] for a, b in zip(lk, rk)])
         return left.join(right, cond, "left")
-    hot = hot if hot is not None else hot_keys(left, lk, max_hot)
-    hot = hot.select(*lk).withColumn("_hot", F.lit(True))
-    spread_row = reduce(or_, [F.col(c).isNull() for c in lk], F.col("_hot"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(spread))
-    salted = (left.join(F.broadcast(hot), lk, "left")
-              .withColumn(SALT, F.when(spread_row, bucket).otherwise(F.lit(0)).cast("int"))
-              .drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0)))
-    repeated = (right.join(F.broadcast(hot.toDF(*rk, "_hot")), rk, "left")
-                .withColumn(R_SALT, F.explode(copies)).drop("_hot"))
+    salted, repeated = salt_sides(left, right, lk, salt_from, spread, max_hot, hot, right_key)
     if right_key is None:
         return (salted.join(repeated.withColumnRenamed(R_SALT, SALT), [*lk, SALT], "left")
                 .drop(SALT))

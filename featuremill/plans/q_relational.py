@@ -9,7 +9,7 @@ from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
 from featuremill.operators.basetable import label_table
-from featuremill.operators.skew import salted_left_join
+from featuremill.operators.skew import salt_sides, salted_left_join
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
 from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS, PRICE,
@@ -64,10 +64,14 @@ def q_sql_view(spark, sf):
     avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("avg_ovr_rating"),
                                                 F.count("review_id").alias("count_of_rating"))
              .withColumnRenamed("business_id", "business_id_2"))
+    # the views carry a salt (hot businesses spread over many tasks, see operators.skew)
+    review, avg_b = salt_sides(review, avg_b, "business_id", ["review_id"],
+                               right_key="business_id_2")
     register_views({"fm_review": review, "fm_avg_business": avg_b})
     return spark.sql("""SELECT r.review_id, r.business_id, r.stars,
         round(a.avg_ovr_rating, 9) AS avg_ovr_rating, a.count_of_rating
-      FROM fm_review r, fm_avg_business a WHERE r.business_id = a.business_id_2""")
+      FROM fm_review r, fm_avg_business a
+      WHERE r.business_id = a.business_id_2 AND r._salt = a._salt_r""")
 
 
 # -- projection -------------------------------------------------------------------------
