@@ -78,13 +78,14 @@ def _wavg(x, weight):
 def review_rollup(review: DataFrame, users: DataFrame, business: str = "business_id",
                   user: str = "user_id", review_id: str = "review_id", stars: str = "stars",
                   useful: str = "useful", funny: str = "funny", cool: str = "cool",
-                  spread: int = 64, max_hot: int = 1000) -> DataFrame:
+                  spread: int | None = None, max_hot: int = 1000) -> DataFrame:
     """15 measures per business from reviews and (filtered) user features.
 
     users: one row per user with the measures named in ``ROLLUP_USER_MEASURES`` (as
     produced by ``user_features``). Reviews whose user is absent or filtered out still
     count for the review sums and ratings, and leave the user averages (avg skips nulls).
-    Users holding more than ``1 / max_hot`` of the reviews are joined over ``spread`` tasks.
+    Users holding more than ``1 / max_hot`` of the reviews are cut into parts of about one
+    task each (``spread`` tasks in all; default: the shuffle partitions).
     """
     pair = review.groupBy(business, user).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -99,7 +100,7 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
     per_user = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
     u = users.select(user, *measures).join(per_user, user, "left")
-    hot = hot_keys(review.select(user), user, max_hot)
+    hot = hot_keys(review.select(user), user, max_hot, spread)
     rows = salted_left_join(pair, u, user, salt_from=[business], spread=spread, hot=hot)
 
     n = F.col("_n")

@@ -13,11 +13,17 @@ join here salts explicitly instead:
   review table's user column instead of the (business, user) pairs): column pruning
   makes a count over the join input a different plan from the input itself, so it would
   be recomputed from its full source anyway.
-* left rows of a hot key get a salt from a hash of other columns (deterministic: a retried
-  task sends each row to the same place, which a random salt would not); right rows of a
-  hot key are repeated once per salt value. Left rows with a null key match nothing and
-  are spread the same way, so a mass of missing keys does not meet in one task either.
-* the join runs on ``(key, salt)``; every other key keeps salt 0 and a single copy.
+* each hot key gets a spread: about its share of the ``tasks`` the join runs on (a key
+  with a third of the rows, on 40,000 shuffle partitions, is cut into ~13,334 parts), so
+  the parts are the size of an ordinary partition whatever the data size. Left rows of a
+  hot key take a salt from a hash of other columns (deterministic: a retried task sends
+  each row to the same place, which a random salt would not); right rows of a hot key are
+  repeated once per salt value, at most ``tasks + max_hot`` rows in all. Left rows with a
+  null key match nothing and are hashed over all ``tasks``, so a mass of missing keys
+  does not meet in one task either.
+* the join runs on ``(key, salt)``; every other key keeps salt 0 and a single copy. Its two
+  inputs are both shuffles, so AQE can still split a moderately skewed key below the
+  ``1 / max_hot`` line.
 """
 
 from __future__ import annotations
@@ -35,52 +41,65 @@ def _names(key) -> list:
     return [key] if isinstance(key, str) else list(key)
 
 
-def hot_keys(df: DataFrame, key, max_hot: int = 1000) -> DataFrame:
+def _tasks(df: DataFrame, tasks: int | None) -> int:
+    return tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(df: DataFrame, key, max_hot: int = 1000, tasks: int | None = None) -> DataFrame:
     """Values of ``key`` (a column name or a list of them) holding more than
-    ``1 / max_hot`` of the rows of ``df``: fewer than ``max_hot`` rows."""
+    ``1 / max_hot`` of the rows of ``df`` (fewer than ``max_hot`` rows), each with
+    ``_spread``: its share of ``tasks`` (default: the shuffle partitions), at least 2."""
     keys = _names(key)
+    tasks = _tasks(df, tasks)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.select(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * F.lit(max_hot) > total).select(*keys)
+    share = F.ceil(F.col("_rows") * F.lit(tasks) / total)
+    return (counts.where(F.col("_rows") * F.lit(max_hot) > total)
+            .select(*keys, F.least(F.lit(tasks), F.greatest(F.lit(2), share))
+                    .cast("int").alias("_spread")))
 
 
-def salt_sides(left: DataFrame, right: DataFrame, key, salt_from, spread: int = 64,
+def salt_sides(left: DataFrame, right: DataFrame, key, salt_from, spread: int | None = None,
                max_hot: int = 1000, hot: DataFrame | None = None, right_key=None):
     """The two inputs of a salted equi-join: ``left`` with ``_salt`` and ``right`` with
-    ``_salt_r``; join them on the keys and ``_salt = _salt_r`` (for SQL over views)."""
+    ``_salt_r``; join them on the keys and ``_salt = _salt_r`` (for SQL over views).
+    ``spread``: the tasks the join runs on (default: the shuffle partitions)."""
     lk = _names(key)
     rk = lk if right_key is None else _names(right_key)
-    hot = hot if hot is not None else hot_keys(left, lk, max_hot)
-    hot = hot.select(*lk).withColumn("_hot", F.lit(True))
-    spread_row = reduce(or_, [F.col(c).isNull() for c in lk], F.col("_hot"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(spread))
+    tasks = _tasks(left, spread)
+    hot = hot if hot is not None else hot_keys(left, lk, max_hot, tasks)
+    hot = hot.select(*lk, "_spread")
+    h = F.xxhash64(*[F.col(c) for c in salt_from])
+    salt = (F.when(reduce(or_, [F.col(c).isNull() for c in lk]), F.pmod(h, F.lit(tasks)))
+            .when(F.col("_spread").isNotNull(), F.pmod(h, F.col("_spread")))
+            .otherwise(F.lit(0)))
     salted = (left.join(F.broadcast(hot), lk, "left")
-              .withColumn(SALT, F.when(spread_row, bucket).otherwise(F.lit(0)).cast("int"))
-              .drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-        F.array(F.lit(0)))
-    repeated = (right.join(F.broadcast(hot.toDF(*rk, "_hot")), rk, "left")
-                .withColumn(R_SALT, F.explode(copies)).drop("_hot"))
+              .withColumn(SALT, salt.cast("int")).drop("_spread"))
+    copies = F.when(F.col("_spread").isNotNull(),
+                    F.sequence(F.lit(0), F.col("_spread") - 1)).otherwise(F.array(F.lit(0)))
+    repeated = (right.join(F.broadcast(hot.toDF(*rk, "_spread")), rk, "left")
+                .withColumn(R_SALT, F.explode(copies)).drop("_spread"))
     return salted, repeated
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key, salt_from,
-                     spread: int = 64, max_hot: int = 1000, hot: DataFrame | None = None,
-                     right_key=None) -> DataFrame:
+                     spread: int | None = None, max_hot: int = 1000,
+                     hot: DataFrame | None = None, right_key=None) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``key`` (a name or a list), with hot and null keys of
-    ``left`` spread over ``spread`` tasks. Without ``right_key`` the keys are joined by name
+    ``left`` spread over many tasks. Without ``right_key`` the keys are joined by name
     (one copy in the output, as a USING join); with it, ``left.key[i] = right.right_key[i]``
     and both sides' columns are kept.
 
     The result is the plain left join's, row for row: a left row carries one salt and meets
     every right row of its key exactly once (each is repeated once per salt). ``salt_from``
     names left columns that vary within a key (the other half of a pair, a row id).
-    ``right`` should be the smaller side: its hot keys' rows are repeated ``spread`` times.
-    ``hot``: the keys to spread (a ``hot_keys`` table); by default the hot keys of ``left``.
+    ``right`` should be the smaller side: its hot keys' rows are repeated. ``hot``: the
+    keys to spread (a ``hot_keys`` table); by default the hot keys of ``left``. ``spread``:
+    the tasks the join runs on (default: the shuffle partitions; 1 = a plain join).
     """
     lk = _names(key)
     rk = lk if right_key is None else _names(right_key)
-    if spread <= 1:
+    if spread == 1:
         if right_key is None:
             return left.join(right, lk, "left")
         cond = reduce(and_, [left[a] == right[b] for a, b in zip(lk, rk)])

@@ -81,6 +81,9 @@ def test_salted_join_spreads_hot_and_null_keys(spark):
     left = spark.createDataFrame(rows, "k long, b long")
     right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 302)], "k long, v string")
     assert hot_keys(left, "k", max_hot=10).count() < 10
+    # a key with a third of the rows is cut into a third of the tasks
+    spread = {r["k"]: r["_spread"] for r in hot_keys(left, "k", max_hot=10, tasks=30).collect()}
+    assert spread[HOT_USER] == 10
 
     def run():
         out = salted_left_join(left, right, "k", ["b"], spread=8)
