@@ -179,6 +179,10 @@ def frequent_values(df: DataFrame, c: str, min_count: int, count_of: str | None
             .where(F.col("count") > min_count))
 
 
+class TooManyValues(ValueError):
+    """More frequent values than a wide one-hot layout accepts."""
+
+
 def fit_frequent_one_hot(df: DataFrame, c: str, min_count: int = 45, prefix: str | None = None,
                          others: str | None = None, count_of: str | None = None,
                          max_values: int = 1000) -> FrequentOneHotSpec:
@@ -188,8 +192,8 @@ def fit_frequent_one_hot(df: DataFrame, c: str, min_count: int = 45, prefix: str
     others = others or f"{prefix}others"
     rows = frequent_values(df, c, min_count, count_of).select(c).limit(max_values + 1).collect()
     if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} values of {c!r} occur over {min_count} times; "
-                         "raise min_count")
+        raise TooManyValues(f"more than {max_values} values of {c!r} occur over {min_count} "
+                            "times; raise min_count or use the category layout")
     values = tuple(sorted(str(r[0]) for r in rows))
     spec = FrequentOneHotSpec(c, values, prefix, others)
     names = spec.names()

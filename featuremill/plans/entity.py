@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.predicates import flag_set, isin_any, not_true
 from featuremill.operators.encode import (FrequentCategorySpec, FrequentOneHotSpec,
-                                          TokenGroup, _flag, fit_frequent_category,
+                                          TokenGroup, TooManyValues, _flag,
+                                          fit_frequent_category,
                                           fit_frequent_one_hot, one_hot_columns,
                                           quoted_variants, sentinel_class_columns,
                                           split_columns, true_flag_columns)
 from featuremill.operators.profile import NullFilterSpec, fit_null_filter
+from featuremill.session import scratch_path
 from featuremill.sources.files import sanitize_columns
 
 # Categories that mark a leisure business (checked against the first five
@@ -148,29 +150,40 @@ class EntityFeaturesModel:
 def fit_entity_features(raw: DataFrame, trim: bool = True,
                         null_share: float = NULL_SHARE_LIMIT,
                         min_city_count: int = FREQUENT_CITY_COUNT,
-                        key: str = "business_id", city_layout: str = "wide",
-                        city_table: str | None = None) -> EntityFeaturesModel:
+                        key: str = "business_id", city_layout: str = "auto",
+                        city_table: str | None = None,
+                        max_city_columns: int = 1000) -> EntityFeaturesModel:
     """Two bounded actions: the null profile (one row per column) and the frequent cities
     of the candidate rows.
 
     ``city_layout="wide"`` (the original table): one 0/1 column per frequent city plus
-    ``city_others``; the value list comes to the driver and more than 1,000 values is
-    refused. ``city_layout="category"`` (for large data): the frequent cities are written
-    to ``city_table`` and joined back as one ``city_group`` column, with no limit.
+    ``city_others``; the value list comes to the driver and more than ``max_city_columns``
+    values is refused. ``city_layout="category"`` (for large data): the frequent cities are
+    written to ``city_table`` and joined back as one ``city_group`` column, with no limit.
+    ``"auto"``: the wide layout while the values fit, else the category layout (table in
+    ``city_table`` or a fresh path of the shared scratch folder) -- every frequent city is
+    kept either way.
     """
     flagged = with_leisure_flag(raw, trim=trim)
     nf = fit_null_filter(flagged, null_share)
     rows = candidate_rows(nf.apply(flagged))
-    if city_layout == "wide":
-        city = fit_frequent_one_hot(rows, "city", min_city_count, prefix="city_",
-                                    others="city_others", count_of=key)
-    elif city_layout == "category":
-        if not city_table:
-            raise ValueError("city_layout='category' needs city_table (a shared path)")
-        city = fit_frequent_category(rows, "city", min_city_count, city_table, count_of=key,
-                                     out="city_group")
-    else:
+    if city_layout not in ("wide", "category", "auto"):
         raise ValueError(f"unknown city_layout {city_layout!r}")
+    if city_layout == "category" and not city_table:
+        raise ValueError("city_layout='category' needs city_table (a shared path)")
+    city = None
+    if city_layout in ("wide", "auto"):
+        try:
+            city = fit_frequent_one_hot(rows, "city", min_city_count, prefix="city_",
+                                        others="city_others", count_of=key,
+                                        max_values=max_city_columns)
+        except TooManyValues:
+            if city_layout == "wide":
+                raise
+    if city is None:
+        table = city_table or scratch_path(raw.sparkSession, "frequent-city")
+        city = fit_frequent_category(rows, "city", min_city_count, table, count_of=key,
+                                     out="city_group")
     return EntityFeaturesModel(nf, city, trim)
 
 

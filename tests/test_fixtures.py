@@ -206,3 +206,9 @@ def test_entity_category_layout(spark):
     assert cat.count() == wide.count()
     per_group = {r[0]: r[1] for r in cat.groupBy("city_group").count().collect()}
     assert per_group["others"] == wide.where("city_others = 1").count()
+    # "auto" keeps the wide layout while the values fit, else every value as a category
+    auto = fit_entity_features(raw, max_city_columns=3).transform(raw)
+    assert "city_group" in auto.columns and "city_others" not in auto.columns
+    assert sorted(map(tuple, auto.groupBy("city_group").count().collect())) == sorted(per_group.items())
+    with pytest.raises(ValueError):
+        fit_entity_features(raw, city_layout="wide", max_city_columns=3)
