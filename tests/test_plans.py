@@ -1,5 +1,5 @@
-"""Plan shape: one scan for the roll-up, no Python evaluation, no unpartitioned window
-over the score table, pushed-down filters and pruned columns."""
+"""Plan shape: one full review scan for the roll-up, no Python evaluation, no cross join,
+no unpartitioned window over the score table, pushed-down filters and pruned columns."""
 
 from featuremill.operators.evaluate import exact_auc
 from featuremill.operators.rollup import review_rollup, review_rollup_literal, user_features
@@ -41,12 +41,13 @@ def test_rollup_reads_review_measures_once(spark):
     assert "SortMergeJoin [user_id" in fast and "_salt" in fast
 
 
-def test_no_python_in_sql_checked_plans(spark):
+def test_no_python_or_cross_join_in_sql_checked_plans(spark):
     for key, q in all_queries().items():
         if q.sql is None or key.endswith("roundtrip"):
             continue
         p = plan(q.build(spark, SF01))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
 
 
 def test_auc_running_sums_partitioned_by_bucket(spark):
