@@ -50,14 +50,38 @@ def refresh_activity(spark: SparkSession, source: str, schema, spec: ActivitySpe
     q.awaitTermination()
 
 
-def read_activity_features(spark: SparkSession, state_table: str,
-                           spec: ActivitySpec) -> DataFrame:
-    """Newest state per key, then the same derived features as ``activity_features``."""
+def _latest(rows: DataFrame, spec: ActivitySpec) -> DataFrame:
+    """Newest state row per key (keeps ``_batch``)."""
     n = spec.names
-    values = ["_first", "_last", n.count, *spec.sums.keys()]
-    latest = (spark.read.parquet(state_table).groupBy(spec.key)
-              .agg(F.max_by(F.struct(*values), "_batch").alias("_s"))
-              .select(spec.key, *[F.col(f"_s.{c}").alias(c) for c in values]))
+    values = ["_first", "_last", n.count, *spec.sums.keys(), "_batch"]
+    return (rows.groupBy(spec.key).agg(F.max_by(F.struct(*values), "_batch").alias("_s"))
+            .select(spec.key, *[F.col(f"_s.{c}").alias(c) for c in values]))
+
+
+def compact_activity_state(spark: SparkSession, state_table: str, out: str,
+                           spec: ActivitySpec, compacted: str | None = None) -> str:
+    """Writes the newest row per key of ``state_table`` (and of an earlier compaction) to
+    ``out`` (a fresh path in the shared folder) and returns it."""
+    _latest(_state_rows(spark, state_table, compacted), spec).write.parquet(out)
+    return out
+
+
+def _state_rows(spark: SparkSession, state_table: str, compacted: str | None) -> DataFrame:
+    rows = spark.read.parquet(state_table)
+    if not compacted:
+        return rows
+    base = spark.read.parquet(compacted)
+    upto = base.agg(F.max("_batch")).first()[0]  # one number
+    newer = rows if upto is None else rows.where(F.col("_batch") > F.lit(upto))
+    return base.unionByName(newer.select(*base.columns))
+
+
+def read_activity_features(spark: SparkSession, state_table: str, spec: ActivitySpec,
+                           compacted: str | None = None) -> DataFrame:
+    """Newest state per key (from ``compacted`` plus the later batches, if given), then the
+    same derived features as ``activity_features``."""
+    n = spec.names
+    latest = _latest(_state_rows(spark, state_table, compacted), spec)
     span = span_years("_last", "_first")
     return latest.select(
         spec.key, n.count, *spec.sums.keys(),
