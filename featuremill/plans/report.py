@@ -31,7 +31,9 @@ def run_models(base: DataFrame, key: str = "business_id", target: str = "target"
     """``(model, split, auc, accuracy, n)`` for every fitted model."""
     train_raw, test_raw = hash_split(base, key, M.TRAIN_FRACTION, str(M.SPLIT_SEED))
     formula = M.fit_features(train_raw, target, exclude=(key,))
-    train = formula.transform(train_raw).select("features", "label").persist()
+    # each fit caches its input and releases it afterwards (``models._fit``); the base table
+    # itself is read from the shared folder, so scoring recomputes only the formula
+    train = formula.transform(train_raw).select("features", "label")
     test = formula.transform(test_raw).select("features", "label")
     fitted = {
         "lr": M.fit_lr(train),
