@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from featuremill.session import scratch_path
 
 #: Entries a worker keeps in a memo table before it starts afresh (bounds its memory).
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 200_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
