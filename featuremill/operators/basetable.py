@@ -15,13 +15,9 @@ from featuremill.operators.encode import fill_defaults, label_target
 from featuremill.operators.profile import dedup
 
 
-def label_table(label: DataFrame, key: str, label_col: str, conflict: str = "keep") -> DataFrame:
-    """One row per (key, label). ``conflict="keep"`` leaves a key with two different
-    labels as two rows; ``"any_true"`` is applied later by ``base_table``."""
-    out = dedup(label.select(key, label_col), [key, label_col])
-    if conflict not in ("keep", "any_true"):
-        raise ValueError(f"unknown conflict rule {conflict!r}")
-    return out
+def label_table(label: DataFrame, key: str, label_col: str) -> DataFrame:
+    """One row per (key, label); a key with two different labels has two rows."""
+    return dedup(label.select(key, label_col), [key, label_col])
 
 
 def assemble(entity: DataFrame, label: DataFrame, features, key: str) -> DataFrame:
@@ -39,8 +35,11 @@ def base_table(entity: DataFrame, label: DataFrame, features, key: str = "busine
                label_col: str = "delivery_or_takeout", true_tokens=("TRUE",),
                target: str = "target", conflict: str = "keep") -> DataFrame:
     """The model table: one row per entity and label, nulls filled (numbers 0, text "0"),
-    ``target`` 1 when the label text is one of ``true_tokens``."""
-    lab = label_table(label, key, label_col, conflict)
+    ``target`` 1 when the label text is one of ``true_tokens``. An entity with both labels
+    has two rows (``conflict="keep"``) or one with target 1 (``"any_true"``)."""
+    if conflict not in ("keep", "any_true"):
+        raise ValueError(f"unknown conflict rule {conflict!r}")
+    lab = label_table(label, key, label_col)
     if conflict == "any_true":
         lab = lab.groupBy(key).agg(
             F.max(F.col(label_col).isin(list(true_tokens)).cast("int")).alias("_any"))

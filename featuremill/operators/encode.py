@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.columns import sanitize_name
 from featuremill.functions.predicates import contains_token, isin_any
+from featuremill.operators.skew import salted_left_join
 
 
 def _flag(cond: Column) -> Column:
@@ -146,11 +147,11 @@ def sentinel_class(df: DataFrame, cols: dict, sentinel: str = "0:0-0:0",
     return _add(df, out, list(cols) if drop else ())
 
 
-# -- frequent values (fitted) -------------------------------------------------------------
+# -- frequent values -------------------------------------------------------------
 
 @dataclass(frozen=True)
 class FrequentOneHotSpec:
-    """Fitted spec: the frequent values of ``column``, in sorted order."""
+    """The declared values of ``column``, in sorted order."""
     column: str
     values: tuple
     prefix: str
@@ -179,26 +180,16 @@ def frequent_values(df: DataFrame, c: str, min_count: int, count_of: str | None
             .where(F.col("count") > min_count))
 
 
-class TooManyValues(ValueError):
-    """More frequent values than a wide one-hot layout accepts."""
-
-
-def fit_frequent_one_hot(df: DataFrame, c: str, min_count: int = 45, prefix: str | None = None,
-                         others: str | None = None, count_of: str | None = None,
-                         max_values: int = 1000) -> FrequentOneHotSpec:
-    """One bounded action: at most ``rows / (min_count + 1)`` values reach the driver, and
-    more than ``max_values`` is refused (a wider table is not a sensible feature set)."""
+def frequent_one_hot_spec(c: str, values, prefix: str | None = None,
+                          others: str | None = None) -> FrequentOneHotSpec:
+    """The wide layout for a vocabulary that the caller declares (for example from
+    ``frequent_values``): its columns are the same on every table and at every size."""
     prefix = prefix if prefix is not None else f"{c}_"
-    others = others or f"{prefix}others"
-    rows = frequent_values(df, c, min_count, count_of).select(c).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise TooManyValues(f"more than {max_values} values of {c!r} occur over {min_count} "
-                            "times; raise min_count or use the category layout")
-    values = tuple(sorted(str(r[0]) for r in rows))
-    spec = FrequentOneHotSpec(c, values, prefix, others)
-    names = spec.names()
-    if len(set(names)) != len(names) or others in names:
-        raise ValueError(f"frequent values of {c!r} collide after sanitising: {names}")
+    spec = FrequentOneHotSpec(c, tuple(sorted(str(v) for v in values)), prefix,
+                              others or f"{prefix}others")
+    names = [*spec.names(), spec.others]
+    if len(set(names)) != len(names):
+        raise ValueError(f"values of {c!r} collide after sanitising: {names}")
     return spec
 
 
@@ -230,14 +221,17 @@ class FrequentCategorySpec:
     table: str
     out: str
     others: str = "others"
+    salt_from: tuple = ()
 
     def apply(self, df: DataFrame, drop: bool = True) -> DataFrame:
         _require(df, [self.column])
         vals = df.sparkSession.read.parquet(self.table).select(F.col("value").alias("_fv"))
-        # an equi-join: AQE broadcasts the value table when its measured size is small and
-        # splits a hot value's partition otherwise
-        out = df.join(vals, df[self.column].cast("string") == vals["_fv"], "left")
-        out = out.withColumn(self.out, F.coalesce(F.col("_fv"), F.lit(self.others))).drop("_fv")
+        # rows of a hot value, and rows without one, are spread over many tasks
+        keyed = df.withColumn("_fv_key", F.col(self.column).cast("string"))
+        out = salted_left_join(keyed, vals, "_fv_key", list(self.salt_from or df.columns),
+                               right_key="_fv")
+        out = (out.withColumn(self.out, F.coalesce(F.col("_fv"), F.lit(self.others)))
+               .drop("_fv", "_fv_key"))
         return out.drop(self.column) if drop and self.out != self.column else out
 
 
@@ -247,4 +241,5 @@ def fit_frequent_category(df: DataFrame, c: str, min_count: int, path: str,
     """Writes the values of ``c`` seen more than ``min_count`` times to ``path``."""
     (frequent_values(df, c, min_count, count_of)
      .select(F.col(c).cast("string").alias("value")).write.mode("overwrite").parquet(path))
-    return FrequentCategorySpec(c, path, out or f"{c}_group", others)
+    return FrequentCategorySpec(c, path, out or f"{c}_group", others,
+                                (count_of,) if count_of else ())

@@ -6,30 +6,28 @@ task, so the running sums are computed in range buckets instead:
 
 1. ``groupBy(score)`` -> (pos, neg) per distinct score. A score shared by a third of the
    rows is one row from here on.
-2. Bucket edges = approximate quantiles of the raw scores: one map-only pass (a mergeable
-   sketch per partition, no shuffle), at most ``buckets`` edges reach the driver. A bucket
-   then holds about ``rows / buckets`` rows, hence at most that many distinct scores;
-   repeated edges (a hot score) collapse, and a score never straddles two buckets.
+2. Those rows are range-partitioned by (group, score descending) and written once to the
+   shared scratch folder with their partition number as bucket. Spark picks the ranges from
+   a bounded sample of each partition, so the driver's share does not depend on the data.
 3. Running sums inside each bucket (a window partitioned by bucket, so buckets run in
    parallel), plus an offset per bucket = the totals of all higher buckets, computed on the
-   bucket table. Without groups that table has at most ``buckets + 1`` rows and is
-   broadcast back (bounded by construction); with groups it has up to
-   ``groups x (buckets + 1)`` rows, which grows with the data, so that join is left to AQE
-   (a broadcast only when the measured size is small, else a shuffle join).
+   bucket table. Without groups that table has at most ``buckets`` rows and is broadcast
+   back (bounded by construction); with groups it has up to ``groups + buckets`` rows, which
+   grows with the data, so that join is left to AQE (a broadcast only when the measured
+   size is small, else a shuffle join).
 
-Nothing is cached or written: the quantile pass and the final pass each read the input
-(callers with an expensive input, such as a large scored table, write it first), so a lost
-executor only reruns its own tasks and no cached block outlives the query.
+The written table is read twice (totals, running sums); a lost executor costs a re-read.
 
 Ties count one half, so the AUC equals the Mann-Whitney statistic, not a binned estimate.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featuremill.session import scratch_path
+
 
 def _score_counts(df: DataFrame, label: str, score: str, by) -> DataFrame:
     y = F.col(label).cast("double")
@@ -39,17 +37,6 @@ def _score_counts(df: DataFrame, label: str, score: str, by) -> DataFrame:
                  F.sum(F.when(y <= 0.5, 1).otherwise(0)).cast("long").alias("neg")))
 
 
-def _bucket_edges(df: DataFrame, label: str, score: str, buckets: int) -> list:
-    """Approximate ``1/buckets .. (buckets-1)/buckets`` quantiles of the scored rows."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    rows = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .select(F.col(score).cast("double").alias("score")))
-    edges = rows.approxQuantile("score", probs, 1.0 / (4 * buckets))
-    return sorted(set(edges))
-
-
 def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                       buckets: int | None = None, by=()) -> DataFrame:
     """Per group of ``by`` and distinct score (descending): ``pos, neg`` at the score and
@@ -60,17 +47,14 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
     g = _score_counts(df, label, score, by)
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = _bucket_edges(df, label, score, buckets)
-    if edges:
-        # binary search in the JVM; equal scores always share a bucket
-        gb = Bucketizer(splits=[float("-inf")] + edges + [float("inf")], inputCol="score",
-                        outputCol="_bucket", handleInvalid="keep").transform(g)
-    else:
-        gb = g.withColumn("_bucket", F.lit(0.0))
-    # (groups x buckets) rows: bounded by the bucket count per group
+    path = scratch_path(spark, "scores")
+    (g.repartitionByRange(buckets, *by, F.col("score").desc())
+     .withColumn("_bucket", F.spark_partition_id()).write.parquet(path))
+    gb = spark.read.parquet(path)
+    # a group lies in consecutive buckets: at most groups + buckets rows
     totals = gb.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     grp = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    above = grp.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = grp.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by, "_bucket",
         F.coalesce(F.sum("_bp").over(above), F.lit(0)).alias("_tp0"),

@@ -33,6 +33,8 @@ LR_GRID = {"regParam": [0.01, 0.1, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0]
            "maxIter": [1, 5, 10]}
 RF_GRID = {"maxDepth": [2, 5, 10], "maxBins": [5, 10, 20], "numTrees": [5, 10, 20]}
 GBT_GRID = {"maxDepth": [2, 5, 10], "maxBins": [5, 10, 20], "stepSize": [0.1, 0.2]}
+#: The forest refitted on selected features: Spark's own default size.
+RF_REFIT = dict(numTrees=20, maxDepth=5)
 TRAIN_FRACTION = 0.8
 SPLIT_SEED = 200
 SELECT_IMPORTANCE = 0.01
@@ -77,6 +79,11 @@ def fit_lr(train: DataFrame, **params) -> Model:
     return _fit(lr(**params), train)
 
 
+def refit_rf(train: DataFrame) -> Model:
+    """The forest on selected features."""
+    return _fit(rf(**RF_REFIT), train)
+
+
 def fit_rf(train: DataFrame, **params) -> Model:
     return _fit(rf(**{**RF_DEFAULTS, **params}), train)
 
@@ -140,15 +147,23 @@ def feature_importance(model: Model, featurised: DataFrame,
             .orderBy(F.col("score").desc(), "idx"))
 
 
-def important_columns(importance: DataFrame, table_columns, threshold: float = SELECT_IMPORTANCE):
-    """Source columns with at least one feature scoring above ``threshold``; a one-hot
-    feature ``lang_en`` maps back to its column ``lang``."""
-    feats = [r["feature"] for r in importance.where(F.col("score") > threshold).collect()]
-    keep = []
-    for c in table_columns:
-        if any(f == c or f.startswith(c + "_") for f in feats):
-            keep.append(c)
-    return keep
+def important_columns(importance: DataFrame, table: DataFrame | list,
+                      threshold: float = SELECT_IMPORTANCE):
+    """Source columns with at least one feature scoring above ``threshold``. A feature is the
+    column of its very name, or the one-hot value of a text column (``lang_en`` of ``lang``):
+    the longest text column that it starts with. ``table``: the source table, or a list of
+    ``(column, is_text)``."""
+    columns = table if isinstance(table, list) else [
+        (f.name, f.dataType.simpleString() == "string") for f in table.schema.fields]
+    names = {c for c, _ in columns}
+    texts = sorted((c for c, is_text in columns if is_text), key=len, reverse=True)
+    kept = set()
+    for row in importance.where(F.col("score") > threshold).collect():
+        feature = row["feature"]
+        source = feature if feature in names else next(
+            (c for c in texts if feature.startswith(f"{c}_")), None)
+        kept.add(source)
+    return [c for c, _ in columns if c in kept]
 
 
 def param_grid(estimator, grid: dict):

@@ -13,8 +13,6 @@ The per-user useful average is a second, narrow aggregate read straight from the
 (two columns, partial aggregation, one shuffle by user). Sharing the pair aggregate
 instead would need it materialised -- about one pair per review, so as large as the
 reviews themselves -- or a window per user, which puts a hot user in a single task.
-``review_rollup_literal`` keeps the original plan (three aggregates joined back onto every
-review row) as the reference the rewrite is tested against.
 """
 
 from __future__ import annotations
@@ -24,7 +22,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.columns import list_size, sum_columns
 from featuremill.functions.dates import tenure_months
-from featuremill.operators.skew import hot_keys, salted_left_join
+from featuremill.operators.skew import held, hot_keys, salted_left_join
 
 # Fixed value: the as-of time of user tenure.
 USER_ASOF = "2020-07-01 00:00:00"
@@ -100,7 +98,7 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
     per_user = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
     u = users.select(user, *measures).join(per_user, user, "left")
-    hot = hot_keys(review.select(user), user, max_hot, spread)
+    hot = held(hot_keys(review.select(user), user, max_hot, spread))
     rows = salted_left_join(pair, u, user, salt_from=[business], spread=spread, hot=hot)
 
     n = F.col("_n")
@@ -117,30 +115,3 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
              for out, src in ROLLUP_USER_MEASURES.items()]
     return rows.groupBy(business).agg(*aggs).select(business, *ROLLUP_COLUMNS)
 
-
-def review_rollup_literal(review: DataFrame, users: DataFrame, business: str = "business_id",
-                          user: str = "user_id", review_id: str = "review_id",
-                          stars: str = "stars", useful: str = "useful", funny: str = "funny",
-                          cool: str = "cool") -> DataFrame:
-    """The original plan: per-business, per-pair and per-user averages joined back onto
-    every review, then averaged per business. Test reference for ``review_rollup``."""
-    avg_b = review.groupBy(business).agg(F.avg(stars).alias("_ovr"),
-                                         F.count(review_id).alias("_cnt"))
-    avg_bu = review.groupBy(business, user).agg(F.avg(stars).alias("_pair"))
-    avg_u = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
-    r = review.alias("r")
-    joined = (r.join(avg_b.withColumnRenamed(business, "_b2"),
-                     F.col(f"r.{business}") == F.col("_b2"), "left")
-              .join(avg_bu.withColumnRenamed(business, "_b3").withColumnRenamed(user, "_u2"),
-                    (F.col(f"r.{business}") == F.col("_b3")) & (F.col(f"r.{user}") == F.col("_u2")),
-                    "left"))
-    measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
-    u = users.select(user, *measures).join(avg_u.withColumnRenamed(user, "_u3"),
-                                            F.col(user) == F.col("_u3"), "left").drop("_u3")
-    ru = joined.drop("_b2", "_b3", "_u2").join(u, user, "left")
-    aggs = [F.sum(src).alias(out) for out, src in ROLLUP_SUMS.items()]
-    aggs += [F.avg("_ovr").alias("avg_overall_rating"),
-             F.avg("_cnt").alias("avg_rating_count"),
-             F.avg("_pair").alias("avg_rating_per_user")]
-    aggs += [F.avg(src).alias(out) for out, src in ROLLUP_USER_MEASURES.items()]
-    return ru.groupBy(business).agg(*aggs).select(business, *ROLLUP_COLUMNS)

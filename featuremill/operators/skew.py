@@ -7,12 +7,9 @@ partitioned by the key (the output of an earlier join on the same key) is not sp
 join here salts explicitly instead:
 
 * ``hot_keys``: keys holding more than ``1 / max_hot`` of the rows. Since the shares add up
-  to one, fewer than ``max_hot`` keys qualify: the table is bounded by construction, and
-  only it is broadcast. The total is a scalar subquery (one value), so nothing passes
-  through the driver. The count can run on a narrower table than the join input (the
-  review table's user column instead of the (business, user) pairs): column pruning
-  makes a count over the join input a different plan from the input itself, so it would
-  be recomputed from its full source anyway.
+  to one, fewer than ``max_hot`` keys qualify: the table is bounded by construction. It is
+  found once, in one narrow pass (the key columns) and a row count, and held as literal
+  rows (``held``) that both join sides broadcast.
 * each hot key gets a spread: about its share of the ``tasks`` the join runs on (a key
   with a third of the rows, on 40,000 shuffle partitions, is cut into ~13,334 parts), so
   the parts are the size of an ordinary partition whatever the data size. Left rows of a
@@ -52,13 +49,19 @@ def hot_keys(df: DataFrame, key, max_hot: int = 1000, tasks: int | None = None)
     keys = _names(key)
     tasks = _tasks(df, tasks)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.select(F.sum("_rows")).scalar()
+    total = F.lit(df.count())
     share = F.ceil(F.col("_rows") * F.lit(tasks) / total)
     return (counts.where(F.col("_rows") * F.lit(max_hot) > total)
             .select(*keys, F.least(F.lit(tasks), F.greatest(F.lit(2), share))
                     .cast("int").alias("_spread")))
 
 
+def held(hot: DataFrame) -> DataFrame:
+    """A hot-key table as literal rows: both sides of a join then use it without counting
+    the keys again (fewer than ``max_hot`` rows, by construction of ``hot_keys``)."""
+    return hot.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
 def salt_sides(left: DataFrame, right: DataFrame, key, salt_from, spread: int | None = None,
                max_hot: int = 1000, hot: DataFrame | None = None, right_key=None):
     """The two inputs of a salted equi-join: ``left`` with ``_salt`` and ``right`` with
@@ -67,7 +70,7 @@ def salt_sides(left: DataFrame, right: DataFrame, key, salt_from, spread: int |
     lk = _names(key)
     rk = lk if right_key is None else _names(right_key)
     tasks = _tasks(left, spread)
-    hot = hot if hot is not None else hot_keys(left, lk, max_hot, tasks)
+    hot = hot if hot is not None else held(hot_keys(left.select(*lk), lk, max_hot, tasks))
     hot = hot.select(*lk, "_spread")
     h = F.xxhash64(*[F.col(c) for c in salt_from])
     salt = (F.when(reduce(or_, [F.col(c).isNull() for c in lk]), F.pmod(h, F.lit(tasks)))

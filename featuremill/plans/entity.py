@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.predicates import flag_set, isin_any, not_true
 from featuremill.operators.encode import (FrequentCategorySpec, FrequentOneHotSpec,
-                                          TokenGroup, TooManyValues, _flag,
-                                          fit_frequent_category,
-                                          fit_frequent_one_hot, one_hot_columns,
+                                          TokenGroup, _flag, fit_frequent_category,
+                                          frequent_one_hot_spec, one_hot_columns,
                                           quoted_variants, sentinel_class_columns,
                                           split_columns, true_flag_columns)
 from featuremill.operators.profile import NullFilterSpec, fit_null_filter
@@ -100,27 +99,24 @@ def candidate_rows(df: DataFrame) -> DataFrame:
             .drop(DELIVERY, TAKEOUT, IS_OPEN))
 
 
-def encoded_columns(city_spec) -> tuple[dict, list]:
-    """All encoder outputs as ``{name: Column}`` and the inputs they consume (the city
-    columns only for the wide layout; the category layout is a join, see ``transform``)."""
-    cols, used = {}, []
-    for c, groups in TOKEN_GROUPS.items():
-        cols.update(one_hot_columns(c, groups)); used.append(c)
-    for c, out in CONTAINS_FLAGS.items():
-        cols[out] = _flag(F.coalesce(F.col(c).contains("True"), F.lit(False))); used.append(c)
-    for c, (out, null_out) in TRUE_FLAGS.items():
-        cols.update(true_flag_columns(c, out, "True", null_out)); used.append(c)
-    if isinstance(city_spec, FrequentOneHotSpec):
-        cols.update(city_spec.columns()); used.append(city_spec.column)
+# The columns that the encoders consume.
+ENCODED = (*TOKEN_GROUPS, *CONTAINS_FLAGS, *TRUE_FLAGS, *(f"hours_{d}" for d in DAYS))
+
+
+def encoded_columns() -> dict:
+    """All row-wise encoder outputs as ``{name: Column}`` (the city is encoded apart)."""
+    parts = [one_hot_columns(c, groups) for c, groups in TOKEN_GROUPS.items()]
+    parts += [{out: _flag(F.coalesce(F.col(c).contains("True"), F.lit(False)))}
+              for c, out in CONTAINS_FLAGS.items()]
+    parts += [true_flag_columns(c, out, "True", null_out)
+              for c, (out, null_out) in TRUE_FLAGS.items()]
     sat, sun = F.col("hours_Saturday"), F.col("hours_Sunday")
-    cols["open_weekends"] = _flag(sat.isNotNull() | sun.isNotNull())
-    for day in DAYS:
-        cols.update(sentinel_class_columns(f"hours_{day}", day, ALL_DAY))
-        used.append(f"hours_{day}")
-    dup = [k for k in cols if list(cols).count(k) > 1]
-    if dup:
-        raise ValueError(f"two encoders write {dup}")
-    return cols, used
+    parts.append({"open_weekends": _flag(sat.isNotNull() | sun.isNotNull())})
+    parts += [sentinel_class_columns(f"hours_{day}", day, ALL_DAY) for day in DAYS]
+    cols = {k: c for part in parts for k, c in part.items()}
+    if len(cols) < sum(map(len, parts)):
+        raise ValueError("two encoders write the same column")
+    return cols
 
 
 @dataclass(frozen=True)
@@ -129,61 +125,39 @@ class EntityFeaturesModel:
     city: FrequentOneHotSpec | FrequentCategorySpec
     trim: bool = True
 
-    def required(self) -> list:
-        _, used = encoded_columns(self.city)
-        return used + [DELIVERY, TAKEOUT, IS_OPEN, self.city.column]
-
     def transform(self, raw: DataFrame) -> DataFrame:
         df = self.null_filter.apply(with_leisure_flag(raw, trim=self.trim))
-        missing = [c for c in self.required() if c not in df.columns]
+        have = set(df.columns)
+        missing = [c for c in (*ENCODED, DELIVERY, TAKEOUT, IS_OPEN, self.city.column)
+                   if c not in have]
         if missing:
             raise ValueError(f"entity encoders need columns the table lacks (removed by the "
                              f"null filter or absent): {missing}")
-        df = candidate_rows(df)
-        cols, used = encoded_columns(self.city)
-        out = df.withColumns(cols).drop(*used, *[c for c in UNUSED if c in df.columns])
-        if isinstance(self.city, FrequentCategorySpec):
-            out = self.city.apply(out)
-        return out
+        out = (candidate_rows(df).withColumns(encoded_columns())
+               .drop(*ENCODED, *(c for c in UNUSED if c in have)))
+        return self.city.apply(out)
 
 
 def fit_entity_features(raw: DataFrame, trim: bool = True,
                         null_share: float = NULL_SHARE_LIMIT,
                         min_city_count: int = FREQUENT_CITY_COUNT,
-                        key: str = "business_id", city_layout: str = "auto",
-                        city_table: str | None = None,
-                        max_city_columns: int = 1000) -> EntityFeaturesModel:
-    """Two bounded actions: the null profile (one row per column) and the frequent cities
-    of the candidate rows.
-
-    ``city_layout="wide"`` (the original table): one 0/1 column per frequent city plus
-    ``city_others``; the value list comes to the driver and more than ``max_city_columns``
-    values is refused. ``city_layout="category"`` (for large data): the frequent cities are
-    written to ``city_table`` and joined back as one ``city_group`` column, with no limit.
-    ``"auto"``: the wide layout while the values fit, else the category layout (table in
-    ``city_table`` or a fresh path of the shared scratch folder) -- every frequent city is
-    kept either way.
+                        key: str = "business_id", cities=None,
+                        city_table: str | None = None) -> EntityFeaturesModel:
+    """The null profile (a bounded action: one row per column) and the city encoding.
+
+    By default the frequent cities of the candidate rows are written to ``city_table`` (or a
+    fresh path of the shared scratch folder) and joined back as the column ``city_group``
+    (a frequent city or ``others``): the same columns at every data size. ``cities`` declares
+    a vocabulary instead and gives one 0/1 column per city plus ``city_others``.
     """
     flagged = with_leisure_flag(raw, trim=trim)
     nf = fit_null_filter(flagged, null_share)
-    rows = candidate_rows(nf.apply(flagged))
-    if city_layout not in ("wide", "category", "auto"):
-        raise ValueError(f"unknown city_layout {city_layout!r}")
-    if city_layout == "category" and not city_table:
-        raise ValueError("city_layout='category' needs city_table (a shared path)")
-    city = None
-    if city_layout in ("wide", "auto"):
-        try:
-            city = fit_frequent_one_hot(rows, "city", min_city_count, prefix="city_",
-                                        others="city_others", count_of=key,
-                                        max_values=max_city_columns)
-        except TooManyValues:
-            if city_layout == "wide":
-                raise
-    if city is None:
+    if cities is not None:
+        city = frequent_one_hot_spec("city", cities, "city_", "city_others")
+    else:
         table = city_table or scratch_path(raw.sparkSession, "frequent-city")
-        city = fit_frequent_category(rows, "city", min_city_count, table, count_of=key,
-                                     out="city_group")
+        city = fit_frequent_category(candidate_rows(nf.apply(flagged)), "city", min_city_count,
+                                     table, count_of=key, out="city_group")
     return EntityFeaturesModel(nf, city, trim)
 
 

@@ -172,28 +172,25 @@ def rollup(spark, sf):
 
 
 def rollup_sql():
-    """The original plan, literally: three averages joined back onto every review."""
-    avgs = {
-        "avg_overall_rating": "ovr", "avg_rating_count": "cnt", "avg_rating_per_user": "pair",
+    """Averages over review rows, each row carrying its pair's and its user's window average.
+    (The average over a business's reviews of that business's own average or count is that
+    average or count.)"""
+    measures = {
+        "avg_overall_rating": "stars", "avg_rating_per_user": "pair_stars",
         "average_stars_user": "average_stars", "avg_users_fans": "fans",
         "avg_reviews_per_user": "review_count", "avg_users_compliments": "received_compliments",
         "avg_users_given_votes": "given_votes", "avg_users_loyalty": "loyalty",
         "avg_user_elite_yrs": "elite_years", "avg_users_friends": "friend_count",
-        "avg_useful_per_user": "avg_useful"}
-    sel = ", ".join(f"round(avg({src}), 9) AS {out}" for out, src in avgs.items())
-    return f"""(WITH r AS {T('review')}, uf AS {user_features_sql()},
-ab AS (SELECT business_id, avg(stars) AS ovr, count(review_id) AS cnt FROM r GROUP BY business_id),
-abu AS (SELECT business_id, user_id, avg(stars) AS pair FROM r GROUP BY business_id, user_id),
-au AS (SELECT user_id, avg(useful) AS avg_useful FROM r GROUP BY user_id),
-uu AS (SELECT uf.* EXCLUDE (since), au.avg_useful FROM uf LEFT JOIN au ON uf.user_id = au.user_id),
-ru AS (SELECT r.*, ab.ovr, ab.cnt, abu.pair, uu.* EXCLUDE (user_id) FROM r
-  LEFT JOIN ab ON r.business_id = ab.business_id
-  LEFT JOIN abu ON r.business_id = abu.business_id AND r.user_id = abu.user_id
-  LEFT JOIN uu ON r.user_id = uu.user_id)
-SELECT business_id, CAST(sum(cool) AS BIGINT) AS cool_reviews,
-  CAST(sum(funny) AS BIGINT) AS funny_reviews, CAST(sum(useful) AS BIGINT) AS useful_reviews,
-  {sel}
-FROM ru GROUP BY business_id)"""
+        "avg_useful_per_user": "user_useful"}
+    sel = ", ".join(f"round(avg({src}), 9) AS {out}" for out, src in measures.items())
+    votes = ", ".join(f"CAST(sum({v}) AS BIGINT) AS {v}_reviews" for v in ("cool", "funny", "useful"))
+    return f"""(SELECT business_id, {votes}, CAST(count(review_id) AS DOUBLE) AS avg_rating_count, {sel}
+FROM (SELECT r.*, uf.* EXCLUDE (user_id, since),
+    CASE WHEN r.user_id IS NOT NULL THEN avg(r.stars) OVER (PARTITION BY r.business_id, r.user_id) END
+      AS pair_stars,
+    CASE WHEN uf.user_id IS NOT NULL THEN avg(r.useful) OVER (PARTITION BY r.user_id) END AS user_useful
+  FROM {T('review')} r LEFT JOIN {user_features_sql()} uf ON r.user_id = uf.user_id)
+GROUP BY business_id)"""
 
 
 @register("agg_review_rollup", sql=lambda: f"SELECT * FROM {rollup_sql()}")
@@ -250,10 +247,8 @@ def frequent_cities_sql(min_count=FREQUENT_CITY_COUNT):
             f"HAVING count(business_id) > {min_count})")
 
 
-def city_pivot_sql():
-    return f"""(PIVOT (SELECT business_id,
-    'city_' || regexp_replace(city, '[^0-9A-Za-z_]', '_', 'g') AS k, 1 AS v
-  FROM {candidates_sql()} WHERE city IN {frequent_cities_sql()}) ON k USING max(v))"""
+def city_group_sql(city="city"):
+    return f"CASE WHEN {city} IN {frequent_cities_sql()} THEN {city} ELSE 'others' END"
 
 
 def entity_sql():
@@ -268,8 +263,7 @@ def entity_sql():
         if null_out:
             cols.append(f"{_flag(f'{src} IS NULL')} AS {null_out}")
         cols.append(f"{_flag(f'{src} = {_q('True')}')} AS {out}")
-    cols.append(f"{_flag(f'e.city IS NULL OR e.city NOT IN {frequent_cities_sql()}')}"
-                " AS city_others")
+    cols.append(f"{city_group_sql('e.city')} AS city_group")
     cols.append(f"{_flag('hours_Saturday IS NOT NULL OR hours_Sunday IS NOT NULL')}"
                 " AS open_weekends")
     for d in DAYS:
@@ -278,8 +272,7 @@ def entity_sql():
                  f"{_flag(f'{h} = {_q(ALL_DAY)}')} AS \"24h_{d}\"",
                  f"{_flag(f'{h} IS NOT NULL AND {h} <> {_q(ALL_DAY)}')}"
                  f" AS other_sched_{d}"]
-    return f"""(SELECT {', '.join(cols)}, coalesce(COLUMNS(p.* EXCLUDE (business_id)), 0)
-FROM {candidates_sql()} e LEFT JOIN {city_pivot_sql()} p ON e.business_id = p.business_id)"""
+    return f"(SELECT {', '.join(cols)} FROM {candidates_sql()} e)"
 
 
 @register("features_entity", sql=lambda: f"SELECT * FROM {entity_sql()}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featuremill.functions.columns import cast_safe, sum_columns
+from featuremill.functions.columns import cast_safe, sanitize_name, sum_columns
 from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
@@ -14,9 +14,8 @@ from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
 from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS, PRICE,
                                       TRUE_FLAGS, WIFI, candidate_rows, with_leisure_flag)
-from featuremill.plans.q_features import (_flag, _groups_sql, _q, candidates_sql,
-                                          checkin_features, city_pivot_sql,
-                                          frequent_cities_sql, leisure_sql, q_flagship,
+from featuremill.plans.q_features import (_flag, _groups_sql, _in, _q, candidates_sql,
+                                          checkin_features, frequent_cities_sql, leisure_sql, q_flagship,
                                           flagship_sql, _checkin_sql)
 from featuremill.session import scratch_path
 from featuremill.sources.files import (load_table, read_csv, read_json, register_views,
@@ -53,25 +52,25 @@ def q_basetable_roundtrip(spark, sf):
 
 
 @register("sql_view_inner_join", sql=lambda: f"""
-SELECT r.review_id, r.business_id, r.stars, a.avg_ovr_rating, a.count_of_rating
+SELECT r.review_id, r.business_id, r.stars, a.business_stars, a.business_reviews
 FROM {T('review')} r,
-  (SELECT business_id AS business_id_2, round(avg(stars), 9) AS avg_ovr_rating,
-          count(review_id) AS count_of_rating FROM {T('review')} GROUP BY business_id) a
-WHERE r.business_id = a.business_id_2""")
+  (SELECT business_id AS rated_id, round(avg(stars), 9) AS business_stars,
+          count(review_id) AS business_reviews FROM {T('review')} GROUP BY business_id) a
+WHERE r.business_id = a.rated_id""")
 def q_sql_view(spark, sf):
     """Temp views + a comma join with a WHERE equality (Catalyst makes it an equi-join)."""
     review = role(spark, sf, "review")
-    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("avg_ovr_rating"),
-                                                F.count("review_id").alias("count_of_rating"))
-             .withColumnRenamed("business_id", "business_id_2"))
+    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("business_stars"),
+                                                F.count("review_id").alias("business_reviews"))
+             .withColumnRenamed("business_id", "rated_id"))
     # the views carry a salt (hot businesses spread over many tasks, see operators.skew)
     review, avg_b = salt_sides(review, avg_b, "business_id", ["review_id"],
-                               right_key="business_id_2")
+                               right_key="rated_id")
     register_views({"fm_review": review, "fm_avg_business": avg_b})
     return spark.sql("""SELECT r.review_id, r.business_id, r.stars,
-        round(a.avg_ovr_rating, 9) AS avg_ovr_rating, a.count_of_rating
+        round(a.business_stars, 9) AS business_stars, a.business_reviews
       FROM fm_review r, fm_avg_business a
-      WHERE r.business_id = a.business_id_2 AND r._salt = a._salt_r""")
+      WHERE r.business_id = a.rated_id AND r._salt = a._salt_r""")
 
 
 # -- projection -------------------------------------------------------------------------
@@ -105,21 +104,21 @@ def q_select(spark, sf):
 
 
 @register("proj_rename_join", sql=lambda: f"""
-SELECT r.review_id, r.business_id, r.stars, a.avg_ovr_rating, a.count_of_rating
+SELECT r.review_id, r.business_id, r.stars, a.business_stars, a.business_reviews
 FROM {T('review')} r LEFT JOIN
-  (SELECT business_id AS business_id_2, round(avg(stars), 9) AS avg_ovr_rating,
-          count(review_id) AS count_of_rating FROM {T('review')} GROUP BY business_id) a
-  ON r.business_id = a.business_id_2""")
+  (SELECT business_id AS rated_id, round(avg(stars), 9) AS business_stars,
+          count(review_id) AS business_reviews FROM {T('review')} GROUP BY business_id) a
+  ON r.business_id = a.rated_id""")
 def q_rename_join(spark, sf):
     review = role(spark, sf, "review")
-    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("avg_ovr_rating"),
-                                               F.count("review_id").alias("count_of_rating"))
-             .withColumnRenamed("business_id", "business_id_2"))
+    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("business_stars"),
+                                               F.count("review_id").alias("business_reviews"))
+             .withColumnRenamed("business_id", "rated_id"))
     # a per-business figure joined back onto every review: a hot business is salted
     out = salted_left_join(review, avg_b, "business_id", ["review_id"],
-                           right_key="business_id_2")
-    return round_cols(out.select("review_id", "business_id", "stars", "avg_ovr_rating",
-                                 "count_of_rating"), ["avg_ovr_rating"])
+                           right_key="rated_id")
+    return round_cols(out.select("review_id", "business_id", "stars", "business_stars",
+                                 "business_reviews"), ["business_stars"])
 
 
 @register("proj_try_cast", sql=lambda: f"""
@@ -224,45 +223,50 @@ def q_left(spark, sf):
 
 @register("join_left_expr", sql=lambda: f"""
 SELECT u.user_id, u.review_count, a.avg_useful FROM {T('user')} u
-LEFT JOIN (SELECT user_id AS user_id_3, round(avg(useful), 9) AS avg_useful
-           FROM {T('review')} GROUP BY user_id) a ON u.user_id = a.user_id_3""")
+LEFT JOIN (SELECT user_id AS useful_user, round(avg(useful), 9) AS avg_useful
+           FROM {T('review')} GROUP BY user_id) a ON u.user_id = a.useful_user""")
 def q_left_expr(spark, sf):
     u = role(spark, sf, "user").select("user_id", "review_count")
     a = (role(spark, sf, "review").groupBy("user_id").agg(F.avg("useful").alias("avg_useful"))
-         .withColumnRenamed("user_id", "user_id_3"))
-    out = u.join(a, u["user_id"] == a["user_id_3"], "left").select("user_id", "review_count",
+         .withColumnRenamed("user_id", "useful_user"))
+    out = u.join(a, u["user_id"] == a["useful_user"], "left").select("user_id", "review_count",
                                                                    "avg_useful")
     return round_cols(out, ["avg_useful"])
 
 
 @register("join_left_composite", sql=lambda: f"""
-SELECT r.review_id, r.business_id, r.user_id, a.avg_per_user_rating FROM {T('review')} r
-LEFT JOIN (SELECT business_id AS business_id_3, user_id AS user_id_2,
-                  round(avg(stars), 9) AS avg_per_user_rating
+SELECT r.review_id, r.business_id, r.user_id, a.pair_stars FROM {T('review')} r
+LEFT JOIN (SELECT business_id AS pair_business, user_id AS pair_user,
+                  round(avg(stars), 9) AS pair_stars
            FROM {T('review')} GROUP BY business_id, user_id) a
-  ON r.business_id = a.business_id_3 AND r.user_id = a.user_id_2""")
+  ON r.business_id = a.pair_business AND r.user_id = a.pair_user""")
 def q_left_composite(spark, sf):
     r = role(spark, sf, "review")
-    a = (r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("avg_per_user_rating"))
-         .withColumnRenamed("business_id", "business_id_3").withColumnRenamed("user_id", "user_id_2"))
+    a = (r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("pair_stars"))
+         .withColumnRenamed("business_id", "pair_business").withColumnRenamed("user_id", "pair_user"))
     out = salted_left_join(r, a, ["business_id", "user_id"], ["review_id"],
-                           right_key=["business_id_3", "user_id_2"])
-    out = out.select("review_id", "business_id", "user_id", "avg_per_user_rating")
-    return round_cols(out, ["avg_per_user_rating"])
+                           right_key=["pair_business", "pair_user"])
+    out = out.select("review_id", "business_id", "user_id", "pair_stars")
+    return round_cols(out, ["pair_stars"])
 
 
 # -- aggregations -----------------------------------------------------------------------
 
 VC_COLS = ("attributes_Alcohol", "attributes_RestaurantsAttire",
-           "attributes_RestaurantsPriceRange2", "attributes_WiFi", "city")
+           "attributes_RestaurantsPriceRange2", "attributes_WiFi", "city", "hours_Monday")
+CATEGORY_POSITIONS = 5
 
 
 @register("agg_value_counts", sql=lambda: " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({c} AS STRING) AS value, count(business_id) AS count "
-    f"FROM {T('business')} GROUP BY {c}" for c in VC_COLS))
+    f"SELECT '{c}' AS column_name, CAST({x} AS STRING) AS value, count(business_id) AS count "
+    f"FROM {T('business')} GROUP BY ALL"
+    for c, x in [*((c, c) for c in VC_COLS), *((f"cat{i}", f"trim(string_split(categories, ',')[{i}])")
+                                               for i in range(1, CATEGORY_POSITIONS + 1))]))
 def q_value_counts(spark, sf):
-    return P.value_counts(role(spark, sf, "business"), VC_COLS, count_of="business_id",
-                          ordered=False)
+    """Frequency tables of plain columns and of the category positions, most frequent first."""
+    b = role(spark, sf, "business")
+    cats = E.split_columns("categories", ",", CATEGORY_POSITIONS, "cat")
+    return P.value_counts(b.withColumns(cats), (*VC_COLS, *cats), count_of="business_id")
 
 
 def _business_flagged(spark, sf):
@@ -319,12 +323,12 @@ def q_avg(spark, sf):
 
 
 @register("agg_avg_composite", sql=lambda: f"""
-SELECT business_id, user_id, round(avg(stars), 9) AS avg_per_user_rating
+SELECT business_id, user_id, round(avg(stars), 9) AS pair_stars
 FROM {T('review')} GROUP BY business_id, user_id""")
 def q_avg_composite(spark, sf):
     r = role(spark, sf, "review")
-    out = r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("avg_per_user_rating"))
-    return round_cols(out, ["avg_per_user_rating"])
+    out = r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("pair_stars"))
+    return round_cols(out, ["pair_stars"])
 
 
 @register("agg_repeated_pairs", sql=lambda: f"""
@@ -352,6 +356,12 @@ def q_distinct(spark, sf):
     return P.count_distinct(role(spark, sf, "label"), "business_id")
 
 
+@register("agg_distinct_values", sql=lambda: f"""
+SELECT DISTINCT attributes_WiFi, city FROM {T('business')}""")
+def q_distinct_values(spark, sf):
+    return P.distinct_values(role(spark, sf, "business"), ["attributes_WiFi", "city"])
+
+
 @register("agg_drop_duplicates", sql=lambda: f"""
 SELECT DISTINCT business_id, delivery_or_takeout FROM {T('label')}""")
 def q_dedup(spark, sf):
@@ -443,14 +453,12 @@ def q_contains(spark, sf):
 
 @register("encode_frequent_one_hot", sql=lambda: f"""
 SELECT e.business_id,
-  {_flag(f'e.city IS NULL OR e.city NOT IN {frequent_cities_sql()}')} AS city_others,
-  coalesce(COLUMNS(p.* EXCLUDE (business_id)), 0)
-FROM {candidates_sql()} e LEFT JOIN {city_pivot_sql()} p ON e.business_id = p.business_id""")
+  {_flag(f'e.city IS NULL OR e.city NOT IN {_in(S.CITIES)}')} AS city_others, {', '.join(
+    f"{_flag(f'e.city = {_q(v)}')} AS city_{sanitize_name(v)}" for v in S.CITIES)}
+FROM {candidates_sql()} e""")
 def q_frequent_one_hot(spark, sf):
     rows = candidate_rows(_business_flagged(spark, sf)).select("business_id", "city")
-    spec = E.fit_frequent_one_hot(rows, "city", 45, prefix="city_", others="city_others",
-                                  count_of="business_id")
-    return spec.apply(rows)
+    return E.frequent_one_hot_spec("city", S.CITIES, "city_", "city_others").apply(rows)
 
 
 @register("encode_sentinel_class", sql=lambda: f"""

@@ -60,6 +60,7 @@ def _pick(d: Dialect, key: str, m: int, values: list) -> str:
 
 # Token vocabularies of the raw attribute columns (as the source spells them).
 _BOOL3 = ["True", "False", None]
+# Attribute -> (residue, spellings in the source).
 _ATTRIBUTES = {
     "attributes_RestaurantsDelivery": (10, ["True", "False", "None", None, "False", "False",
                                             "False", "False", "False", "False"]),
@@ -128,11 +129,11 @@ FROM {d.table('customer', sf_dir)} c JOIN {d.table('nation', sf_dir)} n
 
 
 def label_sql(d: Dialect, sf_dir: str | None = None) -> str:
-    """(business_id, label text): urgent orders; TRUE when status is P. Holds duplicate
+    """(business_id, label text) of every order; TRUE when its status is P. Holds duplicate
     pairs and businesses with both labels."""
     return f"""SELECT o_custkey AS business_id,
   CASE WHEN o_orderstatus = 'P' THEN 'TRUE' ELSE 'FALSE' END AS delivery_or_takeout
-FROM {d.table('orders', sf_dir)} WHERE o_orderpriority = '1-URGENT'"""
+FROM {d.table('orders', sf_dir)}"""
 
 
 def checkin_sql(d: Dialect, sf_dir: str | None = None) -> str:
@@ -160,6 +161,10 @@ FROM {d.table('lineitem', sf_dir)} l JOIN {d.table('orders', sf_dir)} o
   ON l.l_orderkey = o.o_orderkey"""
 
 
+# A declared vocabulary of city names for the wide layout.
+CITIES = tuple(f"NATION_{i}" for i in range(25))
+
+# Compliment columns of the user table.
 COMPLIMENTS = ("compliment_cool", "compliment_cute", "compliment_funny", "compliment_hot",
                "compliment_list", "compliment_more", "compliment_note", "compliment_photos",
                "compliment_plain", "compliment_profile", "compliment_writer")

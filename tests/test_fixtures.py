@@ -83,14 +83,15 @@ def test_frequent_cities(spark):
     data = ([("A",)] * 44 + [("B",)] * 45 + [("C",)] * 46 + [("St. John",)] * 47
             + [("North York",)] * 48 + [(None,)] * 50)
     df = spark.createDataFrame([(i, c) for i, (c,) in enumerate(data)], "id int, city string")
-    spec = E.fit_frequent_one_hot(df, "city", 45, prefix="city_", others="city_others")
+    frequent = [r["city"] for r in E.frequent_values(df, "city", 45).collect()]
+    spec = E.frequent_one_hot_spec("city", frequent, prefix="city_", others="city_others")
     assert spec.values == ("C", "North York", "St. John")
     assert spec.names() == ["city_C", "city_North_York", "city_St__John"]
     out = spec.apply(df)
     agg = out.agg(*[F.sum(c).alias(c) for c in ["city_others"] + spec.names()]).first()
     assert tuple(agg) == (44 + 45 + 50, 46, 48, 47)
     with pytest.raises(ValueError):
-        E.fit_frequent_one_hot(df, "city", 45, max_values=2)
+        E.frequent_one_hot_spec("city", ["St. John", "St  John"])
 
 
 def test_activity_zero_span_rules(spark):
@@ -183,7 +184,7 @@ def test_frequent_category_matches_wide(spark):
     from featuremill.session import scratch_path
     data = [("A",)] * 44 + [("B",)] * 46 + [("St. John",)] * 47 + [(None,)] * 50
     df = spark.createDataFrame([(i, c) for i, (c,) in enumerate(data)], "id int, city string")
-    wide = E.fit_frequent_one_hot(df, "city", 45, prefix="city_", others="city_others")
+    wide = E.frequent_one_hot_spec("city", ["B", "St. John"], "city_", "city_others")
     cat = E.fit_frequent_category(df, "city", 45, scratch_path(spark, "fc"))
     w = {r["id"]: r for r in wide.apply(df, drop=False).collect()}
     c = {r["id"]: r["city_group"] for r in cat.apply(df, drop=False).collect()}
@@ -193,22 +194,18 @@ def test_frequent_category_matches_wide(spark):
         assert c[i] == expect
 
 
-def test_entity_category_layout(spark):
+def test_entity_city_layouts(spark):
     from featuremill.plans.entity import fit_entity_features
     from featuremill.plans.standins import raw_business
-    from featuremill.session import scratch_path
-    from conftest import SF01
+    from conftest import SF001, SF01
     raw = raw_business(spark, SF01)
-    wide = fit_entity_features(raw).transform(raw)
-    cat = fit_entity_features(raw, city_layout="category",
-                              city_table=scratch_path(spark, "city")).transform(raw)
-    assert not [c for c in cat.columns if c.startswith("city_") and c != "city_group"]
-    assert cat.count() == wide.count()
+    cat = fit_entity_features(raw).transform(raw)
     per_group = {r[0]: r[1] for r in cat.groupBy("city_group").count().collect()}
+    cities = sorted(set(per_group) - {"others"})
+    wide = fit_entity_features(raw, cities=cities).transform(raw)
+    assert len([c for c in wide.columns if c.startswith("city_")]) == len(cities) + 1
+    assert cat.count() == wide.count()
     assert per_group["others"] == wide.where("city_others = 1").count()
-    # "auto" keeps the wide layout while the values fit, else every value as a category
-    auto = fit_entity_features(raw, max_city_columns=3).transform(raw)
-    assert "city_group" in auto.columns and "city_others" not in auto.columns
-    assert sorted(map(tuple, auto.groupBy("city_group").count().collect())) == sorted(per_group.items())
-    with pytest.raises(ValueError):
-        fit_entity_features(raw, city_layout="wide", max_city_columns=3)
+    # the default layout has the same columns at every size
+    small = raw_business(spark, SF001)
+    assert fit_entity_features(small).transform(small).columns == cat.columns

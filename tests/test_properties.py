@@ -1,4 +1,4 @@
-"""Properties: rewrite = literal plan, exact AUC = pairwise AUC, split invariants,
+"""Properties: roll-up = window averages, exact AUC = pairwise AUC, split invariants,
 one-hot and schedule class sums, base table grain."""
 
 import random
@@ -7,13 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from featuremill.operators.evaluate import exact_auc, roc_points
-from featuremill.operators.rollup import (ROLLUP_COLUMNS, review_rollup, review_rollup_literal,
-                                          user_features)
+from featuremill.operators.rollup import ROLLUP_COLUMNS, review_rollup, user_features
 from featuremill.operators.split import hash_split
 from featuremill.plans import standins as S
-from featuremill.plans.q_features import entity, flagship
+from featuremill.plans.entity import fit_entity_features
+from featuremill.plans.q_features import flagship
 
 from conftest import SF001, SF01
+from rollup_check import expected_rollup
 
 
 def _close(a, b, tol=1e-9):
@@ -22,22 +23,22 @@ def _close(a, b, tol=1e-9):
     return abs(a - b) <= tol * max(1.0, abs(a), abs(b))
 
 
-def _compare_rollups(fast, slow):
-    f = {r[0]: r for r in fast.collect()}
-    s = {r[0]: r for r in slow.collect()}
+def _check_rollup(review, users):
+    f = {r[0]: r[1:] for r in review_rollup(review, users).collect()}
+    s = expected_rollup(review, users)
     assert f.keys() == s.keys()
     for k in f:
-        for i, c in enumerate(ROLLUP_COLUMNS, start=1):
+        for i, c in enumerate(ROLLUP_COLUMNS):
             assert _close(f[k][i], s[k][i]), (k, c, f[k][i], s[k][i])
 
 
-def test_rollup_rewrite_equals_literal_on_standins(spark):
+def test_rollup_equals_window_averages_on_standins(spark):
     review = S.role(spark, SF01, "review")
     users = user_features(S.role(spark, SF01, "user"), S.COMPLIMENTS)
-    _compare_rollups(review_rollup(review, users), review_rollup_literal(review, users))
+    _check_rollup(review, users)
 
 
-def test_rollup_rewrite_equals_literal_on_fixture(spark):
+def test_rollup_equals_window_averages_on_fixture(spark):
     review = spark.createDataFrame([
         ("r1", 1, 10, 4.0, 1, 0, 2), ("r2", 1, 10, 2.0, 3, 1, 0), ("r3", 1, 11, None, 2, 0, 0),
         ("r4", 1, None, 5.0, 0, 2, 1), ("r5", 2, 12, 3.0, None, 0, 0), ("r6", 2, 10, 1.0, 4, 0, 0),
@@ -51,7 +52,7 @@ def test_rollup_rewrite_equals_literal_on_fixture(spark):
         "received_compliments double, given_votes double, loyalty double, elite_years int, "
         "friend_count int")
     # user 12 is unknown (filtered out as a light user), user None never joins
-    _compare_rollups(review_rollup(review, users), review_rollup_literal(review, users))
+    _check_rollup(review, users)
 
 
 def test_overall_rating_identity(spark):
@@ -117,7 +118,8 @@ def test_hash_split_invariants(spark):
 
 
 def test_entity_group_sums(spark):
-    e = entity(spark, SF01)
+    raw = S.raw_business(spark, SF01)
+    e = fit_entity_features(raw, cities=S.CITIES).transform(raw)
     groups = [["alcohol_none", "alcohol_full_bar", "alcohol_beer_and_wine"],
               ["attire_null", "attire_none", "attire_casual", "attire_dressy", "attire_formal"],
               ["wifi_none", "wifi_no", "wifi_free", "wifi_paid"],
