@@ -169,10 +169,10 @@ def q_selection(spark, sf):
     formula = M.fit_features(train_raw, "target", exclude=("doc_id",))
     train = formula.transform(train_raw)
     imp = M.feature_importance(M.fit_rf(train), train)
-    keep = M.important_columns(imp, ["n_chars", "lang", "source"], M.SELECT_IMPORTANCE)
+    keep = M.important_columns(imp, m.select("n_chars", "lang", "source"), M.SELECT_IMPORTANCE)
     cols = ["doc_id", "target", *keep]
     f2 = M.fit_features(train_raw.select(*cols), "target", exclude=("doc_id",))
-    model = M.fit_rf(f2.transform(train_raw.select(*cols)))
+    model = M.refit_rf(f2.transform(train_raw.select(*cols)))
     return _pred(model, f2.transform(test_raw.select(*cols))).withColumn(
         "selected", F.lit(",".join(keep)))
 

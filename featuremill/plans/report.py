@@ -44,14 +44,13 @@ def run_models(base: DataFrame, key: str = "business_id", target: str = "target"
     }
     # feature selection: columns with a feature above the importance limit, RF refit
     imp = M.feature_importance(fitted["rf"], train)
-    cols = [c for c in base.columns if c not in (key, target)]
-    keep = M.important_columns(imp, cols, M.SELECT_IMPORTANCE)
+    keep = M.important_columns(imp, base.drop(key, target), M.SELECT_IMPORTANCE)
     if keep:
         sel_cols = [key, target, *keep]
         f2 = M.fit_features(train_raw.select(*sel_cols), target, exclude=(key,))
         tr2 = f2.transform(train_raw.select(*sel_cols)).select("features", "label")
         te2 = f2.transform(test_raw.select(*sel_cols)).select("features", "label")
-        fitted_sel = M.fit_rf(tr2, seed=M.DEFAULT_SEED, numTrees=20)
+        fitted_sel = M.refit_rf(tr2)
     if tune:
         grids = grids or {"lr": M.LR_GRID, "rf": M.RF_GRID, "gbt": M.GBT_GRID}
         makers = {"lr": M.lr, "rf": M.rf, "gbt": M.gbt}

@@ -37,8 +37,9 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             sep: str = ",", multiline: bool = True) -> DataFrame:
-    """CSV with a header. Without ``schema`` the types are inferred (an extra pass)."""
+             sep: str = ",", multiline: bool = False) -> DataFrame:
+    """CSV with a header. ``multiline``: line feeds inside quotes (each file is then one
+    task that cannot be split). Without ``schema`` the types are inferred (an extra pass)."""
     reader = (spark.read.option("header", "true").option("multiLine", str(multiline).lower())
               .option("sep", sep))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")

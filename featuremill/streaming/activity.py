@@ -53,9 +53,10 @@ def refresh_activity(spark: SparkSession, source: str, schema, spec: ActivitySpe
 def _latest(rows: DataFrame, spec: ActivitySpec) -> DataFrame:
     """Newest state row per key (keeps ``_batch``)."""
     n = spec.names
-    values = ["_first", "_last", n.count, *spec.sums.keys(), "_batch"]
-    return (rows.groupBy(spec.key).agg(F.max_by(F.struct(*values), "_batch").alias("_s"))
-            .select(spec.key, *[F.col(f"_s.{c}").alias(c) for c in values]))
+    values = ["_first", "_last", n.count, *spec.sums.keys()]
+    # one max_by per fixed-width column keeps this a hash aggregate (a struct would sort)
+    return rows.groupBy(spec.key).agg(*[F.max_by(c, "_batch").alias(c) for c in values],
+                                      F.max("_batch").alias("_batch"))
 
 
 def compact_activity_state(spark: SparkSession, state_table: str, out: str,

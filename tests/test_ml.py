@@ -34,9 +34,37 @@ def test_separable_auc_and_determinism(spark):
     assert abs(coef["x1"]) > abs(coef["noise"])
     imp = M.feature_importance(m1, data)
     assert imp.first()["feature"] == "x1"
-    assert M.important_columns(imp, ["x1", "noise", "cat"], 0.5) == ["x1"]
+    table = [("x1", False), ("noise", False), ("cat", True)]
+    assert M.important_columns(imp, table, 0.5) == ["x1"]
+    assert abs(sum(r["score"] for r in imp.collect()) - 1) < 1e-9
 
 
+def test_important_columns_match_exactly(spark):
+    imp = spark.createDataFrame([("hasTv_null", 0.5), ("hasTv", 0.001), ("goodForKids_null", 0.2),
+                                 ("goodForKids", 0.0), ("lang_en", 0.3), ("lang_group_x", 0.2)],
+                                "feature string, score double")
+    table = [("hasTv", False), ("hasTv_null", False), ("goodForKids", False),
+             ("goodForKids_null", False), ("lang", True), ("lang_group", True), ("source", True)]
+    assert M.important_columns(imp, table, 0.01) == ["hasTv_null", "goodForKids_null", "lang",
+                                                     "lang_group"]
+
+
+def test_refit_forest_has_default_size(spark):
+    df = _separable(spark, 200)
+    model = M.refit_rf(M.fit_features(df, "target").transform(df).select("features", "label"))
+    assert model.getNumTrees == 20 and model.getOrDefault("maxDepth") == 5
+
+
+def test_lr_probability_is_the_sigmoid_of_its_coefficients(spark):
+    import math
+    df = _separable(spark, 200)
+    data = M.fit_features(df, "target").transform(df)
+    lr = M.fit_lr(data)
+    w, b = lr.coefficients.toArray(), lr.intercept
+    for r in lr.transform(data).select("features", "probability").limit(50).collect():
+        want = 1 / (1 + math.exp(-(float(r["features"].toArray() @ w) + b)))
+        assert abs(r["probability"][1] - want) < 1e-9
+
 def test_cross_validation_best_params(spark):
     df = _separable(spark, 200)
     data = M.fit_features(df, "target").transform(df).select("features", "label")

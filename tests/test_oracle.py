@@ -23,3 +23,11 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert "target" in df.columns and "business_id" in df.columns
     assert df.count() > 0
+
+
+def test_every_oracle_is_one_plain_select(duck):
+    """The driver turns each SQL into a view."""
+    import __spark_entry__ as E
+    for key, sql in E.oracle_sql().items():
+        duck.sql(sql).create_view("checked", replace=True)
+        duck.execute("DROP VIEW checked")
