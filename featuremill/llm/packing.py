@@ -28,6 +28,7 @@ import sys
 import zlib
 from array import array
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,6 @@ from pyspark.sql import functions as F
 
 from featuremill.llm.common import (MEMO_LIMIT, file_bytes, id_and_text, map_batches,
                                     public_path, single_threaded_tokenizers, stored)
-from featuremill.llm.prefix_merge import Memo
 from featuremill.llm.token_counts import CHUNK, SIMPLE, SIMPLE_PIECE, UNITS
 
 WINDOW = 2048
@@ -52,6 +52,26 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are kept as little-endian 32-bit numbers")
 
 
+class PartIds(dict):
+    """Part of a text -> its ids, filled when asked. Two generations of at most ``limit`` short
+    parts are kept; entries not asked for during a whole generation are forgotten."""
+
+    def __init__(self, make, limit: int, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest = make, limit, longest
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(part) > self.longest:  # not worth keeping, and of no bounded size
+            return self.make(part)
+        ids = self.old.get(part) or self.make(part)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[part] = ids
+        return ids
+
+
 class ChunkEncoder:
     """The tokenizer library on short parts of a text, with a bounded memo table.
 
@@ -68,7 +88,7 @@ class ChunkEncoder:
             raise ValueError("a special string that the cuts do not keep apart")
         self.merge = self.library.model.tokenize
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.memo = Memo(MEMO_LIMIT)
+        self.ids_of = PartIds(self._ids, MEMO_LIMIT)
 
     def _cut(self, text: str) -> list[str]:
         if SIMPLE.fullmatch(text) and not (self.special and self.special.search(text)):
@@ -82,21 +102,10 @@ class ChunkEncoder:
             found = self.library.encode(part, add_special_tokens=False).ids
         return array("I", found).tobytes()
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        memo = self.memo
-        if len(memo.new) >= memo.limit:
-            memo.turn()
-        new, old = memo.new, memo.old
-        missing = set().union(*cut).difference(new)
-        for part in missing:
-            new[part] = old.get(part) or self._ids(part)
-        out = [b"".join(map(new.__getitem__, parts)) for parts in cut]
-        for part in missing:
-            if len(part) > 64:  # not worth keeping, and of no bounded size
-                del new[part]
-        return out
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, one text at a time."""
+        for text in texts:
+            yield b"".join(map(self.ids_of.__getitem__, self._cut(text)))
 
 
 _ENCODERS: dict[int, ChunkEncoder] = {}
