@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,12 +103,31 @@ def _featurised(spark, sf):
     return formula.transform(train_raw).select(*keep), formula.transform(test_raw).select(*keep)
 
 
-@register("ml_features")
+def _features_sql() -> str:
+    """The formula's vector: the length, then each text value of the training rows, most
+    frequent first (ties by name), as its own 0/1 position."""
+    return f"""
+WITH m AS (SELECT *, CASE WHEN {_hash_bucket_sql('doc_id')} < 80 THEN 'train' ELSE 'test' END AS split
+           FROM {T('model')}),
+v AS (SELECT 1 AS col, lang AS value, count(*) AS n FROM m WHERE split = 'train' GROUP BY lang
+      UNION ALL SELECT 2, source, count(*) FROM m WHERE split = 'train' GROUP BY source),
+places AS (SELECT col, value, row_number() OVER (ORDER BY col, n DESC, value) AS idx FROM v
+       WHERE value IS NOT NULL)
+SELECT doc_id, split, CAST(target AS DOUBLE) AS label, 0 AS idx, CAST(n_chars AS DOUBLE) AS value FROM m
+UNION ALL
+SELECT doc_id, split, CAST(target AS DOUBLE), CAST(places.idx AS INTEGER),
+       CASE WHEN places.value = CASE col WHEN 1 THEN lang ELSE source END THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+FROM m CROSS JOIN places"""
+
+
+@register("ml_features", sql=_features_sql)
 def q_features(spark, sf):
+    """One row per document and position of its feature vector."""
     train, test = _featurised(spark, sf)
     both = train.withColumn("split", F.lit("train")).unionByName(
         test.withColumn("split", F.lit("test")))
-    return both.select("doc_id", "split", "label", vector_to_array("features").alias("features"))
+    return both.select("doc_id", "split", "label",
+                       F.posexplode(vector_to_array("features")).alias("idx", "value"))
 
 
 def _pred(model, data):
@@ -139,8 +158,19 @@ def q_gbt(spark, sf):
     return _pred(M.fit_gbt(train, **M.GBT_TUNED), test)
 
 
-@register("ml_positive_probability")
+@register("ml_positive_probability", sql=lambda: f"""
+SELECT doc_id, (n_chars % 97 + 1) / (n_chars % 97 + n_chars % 89 + 2)::DOUBLE AS p1 FROM {T('model')}""")
 def q_p1(spark, sf):
+    """Reads the second entry of a probability vector that the table's lengths give."""
+    a, b = F.col("n_chars") % 97 + 1, F.col("n_chars") % 89 + 1
+    pred = role(spark, sf, "model").withColumn(
+        "probability", array_to_vector(F.array(b / (a + b), a / (a + b))))
+    return M.positive_probability(pred).select("doc_id", "p1")
+
+
+@register("ml_tuned_probability")
+def q_tuned_p1(spark, sf):
+    """The tuned forest's probability of class 1 on the test rows."""
     train, test = _featurised(spark, sf)
     model = M.fit_rf(train, **M.RF_TUNED)
     return M.positive_probability(model.transform(test)).select("doc_id", "p1")
@@ -189,6 +219,28 @@ def q_cv(spark, sf):
                  & (F.col("elasticNetParam") == best["elasticNetParam"])).cast("int"))
 
 
+def search(spark, sf, estimator, grid: dict, folds: int = 10) -> DataFrame:
+    """Every setting of ``grid`` with its mean AUC over the folds, and ``best`` = 1 for the
+    setting that the search chose. The featurised training rows are written once: the fits
+    start from Parquet and a lost executor costs a re-read."""
+    train, _ = _featurised(spark, sf)
+    path = save_table(train.select("features", "label"), scratch_path(spark, "tuning-train"))
+    cv = M.tune(estimator, grid, load_table(spark, path), folds=folds, parallelism=8)
+    best = M.best_params(cv, grid)
+    chosen = reduce(lambda a, b: a & b, [F.col(n) == F.lit(float(v)) for n, v in best.items()])
+    return M.cv_metrics(cv, grid).withColumn("best", chosen.cast("int"))
+
+
+@register("ml_tune_lr")
+def q_tune_lr(spark, sf):
+    return search(spark, sf, M.lr(), M.LR_GRID)
+
+
+@register("ml_tune_rf")
+def q_tune_rf(spark, sf):
+    return search(spark, sf, M.rf(), M.RF_GRID)
+
+
 @register("ml_report")
 def q_report(spark, sf):
     """The model study on the flagship base table (no grid search in the query). The base

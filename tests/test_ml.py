@@ -78,6 +78,15 @@ def test_cross_validation_best_params(spark):
     assert M.grid_table(spark, M.GBT_GRID).count() == 18
 
 
+def test_search_marks_its_best_setting(spark):
+    from conftest import SF001
+    from featuremill.plans.q_ml import search
+    rows = search(spark, SF001, M.rf(), {"maxDepth": [2, 5], "numTrees": [5]}, folds=2).collect()
+    assert len(rows) == 2
+    best = [r for r in rows if r["best"] == 1]
+    assert len(best) == 1 and best[0]["auc"] == max(r["auc"] for r in rows)
+
+
 def test_run_models_report(spark):
     rep = run_models(_separable(spark, 300))
     rows = rep.collect()
