@@ -113,7 +113,7 @@ def _hashes_of(df: DataFrame) -> list[np.ndarray]:
 
 
 def _sample(df: DataFrame, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of the ``total`` rows, by a hash of id and text, and never more than twice that."""
+    """About ``rows`` of the ``total`` rows, by a hash of the id, and never more than twice that."""
     if total <= rows:
         return df.limit(2 * rows)
     share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * rows / total) + 1
