@@ -1,5 +1,6 @@
-"""Hashed text features for the numpy classifiers: which words, and which beginnings of words,
-a text has. A feature is a 32-bit hash; a model keeps only the hashes it gives a weight."""
+"""Hashed text features for the numpy classifiers: which words and which beginnings of words a
+text has, and which beginnings two or more of its different words share. A feature is a
+32-bit hash; a model keeps only the hashes it gives a weight."""
 
 from __future__ import annotations
 
@@ -18,10 +19,18 @@ def word_features(word: str) -> tuple[int, ...]:
     return (crc32(word.encode()), *(crc32(f"{word[:n]}-".encode()) for n in STEMS if len(word) > n))
 
 
+def again(feature: int) -> int:
+    """Hash of the feature that two or more different words of a text have ``feature``."""
+    return crc32(b"again", feature)
+
+
 def text_features(text: str) -> np.ndarray:
     """Distinct feature hashes of a text, ascending."""
-    found = {h for w in set(WORD.findall(text.lower())) for h in word_features(w)}
-    return np.sort(np.fromiter(found, np.uint32, len(found)))
+    met, shared = set(), set()
+    for w in set(WORD.findall(text.lower())):
+        for h in word_features(w):
+            (shared if h in met else met).add(h)
+    return np.unique(np.fromiter([*met, *map(again, shared)], np.uint32))
 
 
 class LinearScorer:
@@ -37,16 +46,17 @@ class LinearScorer:
         memo, weight = self._memo, self.weight
         if len(memo) > self.limit:
             memo.clear()
-        found = set()
+        met, shared = set(), set()
         for word in set(WORD.findall(text.lower())):
             own = memo.get(word)
             if own is None:
-                own = tuple(h for h in word_features(word) if h in weight)
+                own = tuple(h for h in word_features(word) if h in weight or again(h) in weight)
                 if len(word) <= 64:
                     memo[word] = own
-            if own:
-                found.update(own)
-        return self.bias + sum(weight[h] for h in sorted(found))
+            for h in own:
+                (shared if h in met else met).add(h)
+        found = met.union(map(again, shared))
+        return self.bias + sum(weight[h] for h in sorted(found) if h in weight)
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.margin(text), -40, 40))))
@@ -67,16 +77,3 @@ class SparseRows:
 
     def back(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.column, values[self.row], self.size)
-
-
-class Adam:
-    """The usual step rule, for one vector of parameters."""
-
-    def __init__(self, size: int, rate: float):
-        self.m, self.v, self.t, self.rate = np.zeros(size), np.zeros(size), 0, rate
-
-    def step(self, gradient: np.ndarray) -> np.ndarray:
-        self.t += 1
-        self.m = 0.9 * self.m + 0.1 * gradient
-        self.v = 0.999 * self.v + 0.001 * gradient ** 2
-        return -self.rate * (self.m / (1 - 0.9 ** self.t)) / (np.sqrt(self.v / (1 - 0.999 ** self.t)) + 1e-8)

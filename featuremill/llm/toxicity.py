@@ -8,8 +8,9 @@ what they can have. The prior is the share of toxic rows among the labelled trai
 
 The model is fitted on bounded samples (``positives`` and ``unlabelled``, chosen by a hash of
 the id, so a run can be repeated) and scores every whole text. Labels of held-out rows
-(crc32 of the id as text, modulo 4, is 2) are never read. Features are words and beginnings
-of words; language, source and id are not features.
+(crc32 of the id as text, modulo 4, is 2) are never read. Features are words, beginnings of
+words, and beginnings that several different words of the text share; language, source and
+id are not features.
 
 Defined results: a null text counts as empty and gets the model's bias as score; a null id
 is not held out and has no label; an id with several labels is toxic if one of them says
@@ -34,7 +35,7 @@ THRESHOLD = 0.3
 STEPS = 600
 #: Features that may get a weight, and how strongly weights are held at zero.
 FEATURES = 4000
-SPARSITY = 0.05
+SPARSITY = 0.01
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -9,7 +9,7 @@ import pytest
 from conftest import SF001, SF01
 from pyspark.sql import functions as F
 
-from featuremill.llm import order_minhash, quality_rules, queries, simhash, site_quality, toxicity
+from featuremill.llm import features, order_minhash, quality_rules, queries, simhash, site_quality, toxicity
 from featuremill.llm.common import read
 from featuremill.llm.components import connected_components
 
@@ -249,6 +249,21 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert (again.weight, again.bias) == (scorer.weight, scorer.bias)
 
 
+def test_scorer_sees_the_features_of_training():
+    """The scorer's sum equals the weights of ``text_features``, shared beginnings included."""
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 8))) for _ in range(60)]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(0, 40))) for _ in range(40)]
+    known = np.unique(np.concatenate([features.text_features(t) for t in texts]))[::2]
+    weight = {int(h): rnd.random() for h in known}
+    scorer = features.LinearScorer(known, np.array([weight[int(h)] for h in known]), -1.0)
+    for text in texts + texts:  # the second time from the memo table
+        want = -1.0 + sum(weight.get(int(h), 0.0) for h in features.text_features(text))
+        assert abs(scorer.margin(text) - want) < 1e-9
+    shared = features.again(zlib.crc32(b"abca-"))
+    assert shared in features.text_features("abcabb ABCACC") and shared not in features.text_features("abcabb abcabb")
+
+
 def test_toxicity_odd_rows(spark, odd, none_at_all):
     labels = spark.createDataFrame([(5, 1), (5, 0), (None, 1), (8, 0), (3, None)], "doc_id long, toxic int")
     scorer = toxicity.train(odd, labels)
