@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from featuremill.llm import chat, quality_rules, secrets
 
 
@@ -76,9 +78,10 @@ FROM a"""
 
 def chat_format() -> str:
     t = chat.Template()
-    found = "(" + "|".join(f"\\{c[0]}\\\\*{c[1:].replace(']', '\\]')}" for c in t.controls) + ")"
-    escaped = f"regexp_replace(x, '([\\[<])(\\\\*)(/?INST\\]|/?SYS\\]|/?ROLE\\]|/s>)', '\\1\\2\\\\\\3', 'g')"
-    assert found  # the alternatives above are the template's control strings
+    escaped = "x"
+    for head in sorted({c[0] for c in t.controls}):  # control strings never overlap
+        tails = "|".join(re.escape(c[1:]) for c in t.controls if c[0] == head)
+        escaped = f"regexp_replace({escaped}, '({re.escape(head)})(\\\\*)({tails})', '\\1\\2\\\\\\3', 'g')"
     around = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b, _) in t.roles.items())
     extra = sum(map(len, t.other))
     allowed = " OR ".join(f"(coalesce(before, 'start') = '{s}' AND role = '{r}')"
