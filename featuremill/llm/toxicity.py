@@ -104,13 +104,15 @@ def fit_non_negative_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray]
 
 
 def _hashes_of(df: DataFrame) -> list[np.ndarray]:
-    """Feature hashes of a small table's texts, on the driver."""
+    """Feature hashes of a small table's texts, on the driver, in an order that does not depend
+    on the tasks that made them (sums of floats, and so the model, would)."""
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([text_features(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())],
             names=["hashes"])
 
-    return [np.frombuffer(r.hashes, np.uint32) for r in map_batches(df.select("text"), scan, "hashes binary").collect()]
+    found = map_batches(df.select("text"), scan, "hashes binary").collect()
+    return [np.frombuffer(h, np.uint32) for h in sorted(bytes(r.hashes) for r in found)]
 
 
 def _sample(df: DataFrame, rows: int, total: int) -> DataFrame:
