@@ -172,26 +172,25 @@ def _links_of_groups(batches, key: list[str], distance: int):
 
 def near_duplicates(df: DataFrame, words: int = 3, distance: int = BITS, blocks: int = BLOCKS,
                     large: int = LARGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, text_hash, fp and component_id, the smallest id that is reachable
-    over links of at most ``distance`` differing bits."""
+    """Per row: doc_id, text_hash, fp, root and component_id, the smallest id that is reachable
+    over links of at most ``distance`` differing bits. ``root``, the smallest fingerprint of the
+    component, tells components apart also where their smallest ids are equal or null."""
     rows = stored(fingerprints(df, words, id_col, text_col), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "nodes")
     roots = connected_components(verified_links(nodes, distance, blocks, large))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select(
         F.col("fp").alias("node_fp"), F.coalesce("root", "fp").alias("root"), "lowest")
     lowest = named.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    member = stored(named.join(lowest, "root").select("node_fp", "component_id"), "members")
+    member = stored(named.join(lowest, "root").select("node_fp", "root", "component_id"), "members")
     return (rows.join(member, rows.fp == member.node_fp)
-            .select("doc_id", "text_hash", "fp", "component_id"))
+            .select("doc_id", "text_hash", "fp", "root", "component_id"))
 
 
 def keep_one_of_each(df: DataFrame, words: int = 3, distance: int = BITS) -> DataFrame:
     """``df`` with one row of each component: a row of its smallest id (of the smallest text
     hash among equal ids; a component of null ids keeps one of them)."""
     found = near_duplicates(df, words, distance)
-    best = (found.withColumn("group", F.coalesce(F.col("component_id").cast("string"),
-                                                 F.concat(F.lit("fp"), F.col("fp").cast("string"))))
-            .groupBy("group")
+    best = (found.groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"))
             .select(F.col("best.doc_id").alias("_keep_id"), F.col("best.text_hash").alias("_keep_hash")))
     hashed = df.withColumn("_keep_own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))

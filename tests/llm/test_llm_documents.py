@@ -177,6 +177,27 @@ def test_simhash_odd_rows(odd, none_at_all):
     assert simhash.keep_one_of_each(none_at_all).count() == 0
 
 
+def test_components_of_equal_and_null_ids(spark):
+    """An id on rows of two components keeps a row of each; a component of null ids keeps one."""
+    rnd = random.Random(9)
+    a, b, c = ([f"w{rnd.randrange(10 ** 6)}" for _ in range(400)] for _ in range(3))
+
+    def near(words):
+        """A text 1 to 3 bits away."""
+        fp = slow_fingerprint(" ".join(words))
+        return next(t for t in (" ".join([*words, f"end{i}"]) for i in range(1000))
+                    if 0 < (slow_fingerprint(t) ^ fp).bit_count() <= 3)
+
+    a_near, b_near, c_near = map(near, (a, b, c))
+    a, b, c = (" ".join(w) for w in (a, b, c))
+    assert len(set(groups_by_force([slow_fingerprint(t) for t in (a, a_near, b, b_near, c, c_near)]))) == 3
+    df = spark.createDataFrame([(7, a), (7, b), (9, b_near), (9, a_near), (None, c), (None, c_near)],
+                               "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one_of_each(df).collect()]
+    assert len(kept) == 3 and {(7, a), (7, b)} < set(kept)
+    assert len({(None, c), (None, c_near)} & set(kept)) == 1
+
+
 # -- quality rules ---------------------------------------------------------------------------
 
 def slow_coverage(words, n):
