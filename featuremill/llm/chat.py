@@ -5,8 +5,9 @@ counts for the loss. Control strings inside texts are escaped reversibly: a back
 after the first character of a control string, one more if there are some already. So the
 formatted text can be read back to the very turns (``read_back``).
 
-Turns are range-partitioned by (conversation, turn) and streamed in order, so a conversation
-that holds a large share of all turns is spread over tasks. A task cannot know how its first
+Turns are range-partitioned by (conversation, turn, role, beginning of the text) and streamed in
+order, so a conversation that holds a large share of all turns is spread over tasks (but for
+turns of equal number and role whose texts share their first 256 characters: one task sorts those). A task cannot know how its first
 conversation began elsewhere; it therefore runs the machine from every state, and the parts
 (one or two small rows a partition) are composed in order afterwards.
 
@@ -32,6 +33,11 @@ from pyspark.sql import functions as F
 from featuremill.llm.common import stored
 
 
+#: Characters of a text that say which range a turn falls into, among turns of equal number and
+#: role: the driver's sample of range keys does not grow with the length of texts.
+RANGE_CHARS = 256
+
+
 @dataclass(frozen=True)
 class Template:
     """roles: role -> (before, after, loss). other: before the name, after the name, after the
@@ -126,8 +132,9 @@ def format_turns(df: DataFrame, template: Template = Template(), partitions: int
     id_type = df.schema["conv_id"].dataType.simpleString()
     turns = (df.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-             .withColumn("tie", F.xxhash64("role", "text"))
-             .repartitionByRange(n, "conv_id", "turn", "role", "tie")
+             # a text's beginning never sorts against the text, so the ranges keep the order of texts
+             .withColumn("beginning", F.substring("text", 1, RANGE_CHARS))
+             .repartitionByRange(n, "conv_id", "turn", "role", "beginning")
              .sortWithinPartitions("conv_id", "turn", "role", "text")
              .select("conv_id", "role", "text"))
     segment = pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))

@@ -143,6 +143,23 @@ def test_chat_machine_over_partitions(spark):
     assert read_again[1].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
 
 
+def test_chat_tied_turns_over_partitions(spark):
+    """Turns without a number, spread over partitions, keep the order of role and text."""
+    same = "the same beginning " * 20
+    rows = [(1, None, "assistant", f"é🙂{i * 7919 % 300}" if i % 2 else f"{i * 7919 % 300}") for i in range(300)]
+    rows += [(1, None, "user", f"{same}{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    turns = chat.format_turns(df, partitions=30)
+    want = sorted(((r, t) for _, _, r, t in rows), key=lambda x: (x[0], x[1].encode()))
+    told = sorted((r.position, r.role, "".join(s.text for s in r.segments)) for r in turns.collect())
+    assert [(p, FORMATTER.read_back(t)) for p, _, t in told] == [(i, [w]) for i, w in enumerate(want)]
+    assert turns.rdd.getNumPartitions() > 1
+    (read_again,) = chat.read_conversations(turns).collect()
+    assert read_again.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
+    masked = "".join(t for r, t in want if r == "assistant")
+    assert read_again.loss_sha256 == hashlib.sha256(masked.encode()).hexdigest()
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (None, 1, "assistant", "y" * 100000),
             (None, 0, "tool [ROLE]", "</s>"), (2, 0, "assistant", "")]
