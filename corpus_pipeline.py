@@ -41,7 +41,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("toxicity", clean), ("near_dedup", near_dedup), ("secrets", blank_secrets),
           ("packing", pack)]
 
-#: Training a classifier, XXH64 and the tokenizer have no SQL form; tests/llm checks run() instead.
+#: Training a classifier, XXH64 and the tokenizer have no SQL form; tests/llm compares the
+#: rows of run() with a plain version of every stage instead.
 ORACLE_SQL = None
 
 

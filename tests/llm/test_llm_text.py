@@ -11,11 +11,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremill.llm import chat, queries, secrets
-from featuremill.llm.common import read
+from featuremill.llm import chat, quality_rules, queries, secrets, toxicity
+from featuremill.llm.common import public_path, read
 from featuremill.plans.oracle import _norm
 
 from odd_rows import none_at_all, odd  # noqa: F401  (fixtures)
+from test_llm_documents import groups_by_force, slow_fingerprint
+from test_llm_tokens import check_pieces
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
@@ -190,6 +192,28 @@ def test_pipeline_stages(spark):
     assert pieces.select("doc_id").distinct().count() == seen[4]
 
 
+def test_pipeline_rows_against_plain(spark):
+    """The rows of run() against a plain version of every stage."""
+    from tokenizers import Tokenizer
+    docs = {r.doc_id: r.text or "" for r in read(spark, SF01, "documents").collect()}
+    seen = [len(docs)]
+    docs = {i: t for i, t in docs.items() if quality_rules.measure(t)["kept"]}
+    seen.append(len(docs))
+    scorer = toxicity.train(spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+                            read(spark, SF01, "labels"))
+    docs = {i: t for i, t in docs.items() if scorer.score(t) < toxicity.THRESHOLD}
+    seen.append(len(docs))
+    ids = sorted(docs)
+    roots = groups_by_force([slow_fingerprint(docs[i]) for i in ids])
+    docs = {i: docs[i] for n, i in enumerate(ids) if roots[n] == n}
+    seen.append(len(docs))
+    plain = {i: redact_by_force(t) for i, t in docs.items()}
+    assert seen[0] > seen[1] > seen[2] > seen[3] and plain != docs
+    library = Tokenizer.from_file(public_path("byte_bpe_50k.json"))
+    tokens = {i: library.encode(t, add_special_tokens=False).ids + [queries.PACK_END_ID] for i, t in plain.items()}
+    check_pieces(corpus_pipeline.run(spark, SF01).collect(), queries.PACK_WINDOW, tokens)
+
+
 def test_pipeline_on_an_empty_table(spark):
     docs = read(spark, SF001, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
