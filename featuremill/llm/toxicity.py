@@ -4,10 +4,12 @@ Confirmed toxic examples (P) and unlabelled text (U, a mix of both kinds) train
 model in numpy by the non-negative risk estimator: with the class prior p,
 ``p E_P[l(f)] + max(0, E_U[l(-f)] - p E_P[l(-f)])``; when the part in the maximum falls
 below zero, the step undoes it, so the model cannot drive the risk of the negatives below
-what they can have. The prior is the share of toxic rows among the labelled training rows.
+what they can have. The prior is the share of toxic rows among the labelled training rows;
+the unlabelled sample is of all rows, whose toxic share can differ.
 
-The model is fitted on bounded samples (``positives`` and ``unlabelled``, chosen by a hash of
-the id, so a run can be repeated) and scores every whole text. Labels of held-out rows
+Features are selected and the model is fitted on bounded samples (about ``positives`` and
+``unlabelled`` rows whatever the size of the table, chosen by a hash of the id, so a run can be
+repeated); it scores every whole text. Labels of held-out rows
 (crc32 of the id as text, modulo 4, is 2) are never read. Features are words, beginnings of
 words, and beginnings that several different words of the text share; language, source and
 id are not features.
