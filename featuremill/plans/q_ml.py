@@ -209,7 +209,8 @@ def q_selection(spark, sf):
 
 @register("ml_cross_validation")
 def q_cv(spark, sf):
-    """A 2 x 2 LR grid with 2 folds (the full grids are constants in ``models``)."""
+    """A short form of ``ml_tune_lr``: 4 LR settings and 2 folds, where that key runs all 36
+    settings with 10 folds."""
     train, _ = _featurised(spark, sf)
     grid = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
     cv = M.tune(M.lr(), grid, train.select("features", "label"), folds=2, parallelism=2)
