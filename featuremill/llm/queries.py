@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremill.llm import (chat, order_minhash, packing, piece_codec, quality_rules, secrets, simhash,
-                             site_quality, token_counts, toxicity)
+from featuremill.llm import (chat, cross_alignment, order_minhash, packing, piece_codec, quality_rules, secrets,
+                             simhash, site_quality, token_counts, toxicity, turn_repair, vector_passes)
 from featuremill.llm import sql
 from featuremill.llm.common import file_bytes, id_and_text, map_batches, public_path, read
 
@@ -101,9 +101,39 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def damaged_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` with the faults that the checksum of a row's conversation and turn asks for."""
+    def or_space(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(or_space("conv_id"), F.lit(":"), or_space("turn")).cast("binary")) % 20
+    text = or_space("text")
+    return (read(spark, sf_dir, "conversations").withColumn("fault", fault).where("fault <> 0")
+            .select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(or_space("role")).alias("role"),
+                    F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace(text, "[.!?]", ""))
+                    .otherwise(text).alias("text"),
+                    F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"))
+            .drop("copy"))
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(damaged_conversations(spark, sf_dir), read(spark, sf_dir, "conversations"))
+
+
+def op12_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cross_alignment.alignment_quality(read(spark, sf_dir, "documents"), digest=True)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        F.col("groups").alias("groups_sha256"))
+
+
+def op13_vector_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_passes.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_secret_scan, op3_repetition_coverage, op4_site_quality, op5_chat_format,
-    op6_pack_windows, op7_token_counts, op8_toxicity, op9_simhash, op10_piece_codec)}
+    op6_pack_windows, op7_token_counts, op8_toxicity, op9_simhash, op10_piece_codec, op11_turn_repair,
+    op12_cross_alignment, op13_vector_passes)}
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force.
 ORACLES = {"op2_secret_scan": sql.secret_scan, "op3_repetition_coverage": sql.repetition_coverage,
