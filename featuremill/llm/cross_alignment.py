@@ -28,27 +28,32 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from bisect import bisect_left
-from collections import Counter
 from itertools import accumulate
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremill.llm.common import (MEMO_LIMIT, file_bytes, id_and_text, map_batches, public_path,
                                     single_threaded_tokenizers, stored)
+from featuremill.llm.piece_codec import LETTERS, MARK
 from featuremill.llm.prefix_merge import Memo
 from featuremill.operators.skew import salted_left_join
 
-MARK = "▁"
-#: Where a text is cut before it is encoded.
-CUT = re.compile(r"(?<=\S)(?= )|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)|(?<=[A-Za-z])(?=[.,;:!?])")
+#: Where a text may be cut before it is encoded.
+CUT = f"(?<=\\S)(?= )|(?<=\\S)(?=\\n\\S)|(?<=\\S\\n)(?=\\S)|(?<=[{LETTERS}])(?=[.,;:!?])"
+#: The parts, which begin and end at such places: the usual ones first, then any.
+PART = re.compile(f"\\n(?=\\S)| ?[{LETTERS}]+(?=[.,;:!?])| ?\\S+(?= |\\n\\S|\\Z)|(?s:.(?:(?!{CUT}).)*)")
 #: What no piece of the second tokenizer may hold, for the cuts to be shared ends.
-ACROSS = re.compile(f"[^{MARK}]{MARK}|\n|[A-Za-z][.,;:!?]")
+ACROSS = re.compile(f"[^{MARK}]{MARK}|\n|[{LETTERS}][.,;:!?]")
 #: A part that the first tokenizer takes as one piece.
 WORD = re.compile(" ?[A-Za-z]+")
+#: Marks a part's token numbers among its links.
+NUMBERS = 1 << 62
 #: Parts up to this length are kept in the memo table.
 LONGEST = 64
 #: Rows of the pair table up to which it is broadcast (about 24 bytes each).
@@ -93,16 +98,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Part(NamedTuple):
-    """What a part of a text adds: its token numbers, its groups, and its links with counts."""
+class Aligned(NamedTuple):
+    """A text's token numbers, its groups (``a1,a2|b1;a3|b2,b3``), and its links: the different id
+    pairs as a << 32 | b, ascending, and how often each is linked."""
     n_a: int
     n_b: int
-    n_groups: int
     groups: str
-    links: tuple
+    pairs: np.ndarray
+    times: np.ndarray
 
+    @property
+    def n_groups(self) -> int:
+        return int(self.times.sum())
 
-NONE = Part(0, 0, 0, "", ())
+
+NONE = Aligned(0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 class Aligner:
@@ -142,46 +152,48 @@ class Aligner:
         # with nothing, keeps that space apart where the part has none
         return a, self.b.encode(part[1:]) if part[0] == " " else self.b.encode("\n" + part)[2:]
 
-    def part(self, part: str) -> Part | None:
-        """None if the tokens do not spell the part."""
+    def part(self, part: str) -> tuple[str, bytes] | None:
+        """The groups of a part, and 64-bit numbers: its token numbers and then its links; None if
+        the tokens do not spell the part."""
         a, b = self.tokens(part)
         a_raw, b_raw = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if not b"".join(a_raw) == b"".join(b_raw) == part.encode():
             return None
-        groups, links, a0, b0 = [], [], 0, 0
+        groups, told, a0, b0 = [], array("q", [NUMBERS | len(a) << 31 | len(b)]), 0, 0
         for a1, b1 in align(list(accumulate(map(len, a_raw))), list(accumulate(map(len, b_raw)))):
-            groups.append(f"{','.join(map(str, a[a0:a1]))}|{','.join(map(str, b[b0:b1]))}")
-            links.append((a[a1 - 1], b[b1 - 1]))
+            if a1 - a0 == b1 - b0 == 1:
+                groups.append(f"{a[a0]}|{b[b0]}")
+            else:
+                groups.append(f"{','.join(map(str, a[a0:a1]))}|{','.join(map(str, b[b0:b1]))}")
+            told.append(a[a1 - 1] << 32 | b[b1 - 1])
             a0, b0 = a1, b1
-        return Part(len(a), len(b), len(groups), ";".join(groups), tuple(links))
+        return ";".join(groups), told.tobytes()
 
     def cut(self, text: str) -> list[str]:
         """Space and text, cut where no token of either tokenizer crosses."""
-        parts = CUT.split(" " + text)
+        parts = PART.findall(" " + text)
         if len(parts) > 1 and not parts[-1].strip(" "):
             parts[-2:] = ["".join(parts[-2:])]  # a part of spaces alone would be encoded otherwise
         return parts
 
-    def text(self, text: str) -> Part:
-        """The whole text's tokens, groups and links; a pair that it links often is there once, as
-        ((a, b), times)."""
+    def text(self, text: str) -> Aligned:
+        """The whole text's tokens, groups and links."""
         if not text or MARK in text:
             return NONE
-        parts, new = self.cut(text), self.parts.new
-        found, links, n_a, n_b, n_groups = {}, {}, 0, 0, 0
-        for part, n in Counter(parts).items():
-            own = new.get(part)
+        parts = self.cut(text)
+        found = list(map(self.parts.new.get, parts))
+        for i, (part, own) in enumerate(zip(parts, found)):
             if own is None:
                 own = self.parts.missed(part, self._told) if len(part) <= LONGEST else self._told(part)
+                found[i] = own
             if own is False:
                 return NONE
-            a, b, groups, found[part], pairs = own
-            n_a += n * a
-            n_b += n * b
-            n_groups += n * groups
-            for pair in pairs:
-                links[pair] = links.get(pair, 0) + n
-        return Part(n_a, n_b, n_groups, ";".join(map(found.__getitem__, parts)), tuple(links.items()))
+        told = np.frombuffer(b"".join([own[1] for own in found]), np.int64)
+        numbers = told >= NUMBERS
+        pairs, times = np.unique(told[~numbers], return_counts=True)
+        n = told[numbers] ^ NUMBERS
+        return Aligned(int((n >> 31).sum()), int((n & ((1 << 31) - 1)).sum()), ";".join([own[0] for own in found]),
+                       pairs, times)
 
     def _told(self, part: str):
         return self.part(part) or False
@@ -210,22 +222,21 @@ def align_documents(df: DataFrame, a_path: str | None = None, b_path: str | None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = aligner(a.value, b.value)
-        told, sizes, links = [], [0], ([], [], [])
+        told, sizes, pairs, times = [], [0], [NONE.pairs], [NONE.times]
         for text in batch.column("text").to_pylist():
             t = own.text(text)
             groups = hashlib.sha256(t.groups.encode()).hexdigest() if digest and t.groups else t.groups
             told.append((t.n_a, t.n_b, t.n_groups, groups))
-            sizes.append(sizes[-1] + len(t.links))
-            for (x, y), n in t.links:
-                links[0].append(x)
-                links[1].append(y)
-                links[2].append(n)
+            sizes.append(sizes[-1] + len(t.pairs))
+            pairs.append(t.pairs)
+            times.append(t.times)
         n_a, n_b, n_groups, groups = zip(*told)
-        of = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in links], names=["a", "b", "n"])
+        pair = np.concatenate(pairs)
+        links = [pa.array(x.astype(np.int32)) for x in (pair >> 32, pair & 0xFFFFFFFF, np.concatenate(times))]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
              pa.array(n_groups, pa.int64()), pa.array(groups, pa.string()),
-             pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), of)],
+             pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(links, ["a", "b", "n"]))],
             names=["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
     id_type = df.schema[id_col].dataType.simpleString()
