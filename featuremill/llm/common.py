@@ -30,6 +30,13 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
 
 
+def by_place(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, ... by their places, so that whatever an operator adds
+    clashes with none, and the new name of each; ``toDF(*df.columns)`` on them undoes it."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` on every Arrow batch (at most 10,000 rows and about 64 MB by Spark's settings)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

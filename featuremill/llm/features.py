@@ -33,30 +33,40 @@ def text_features(text: str) -> np.ndarray:
     return np.unique(np.fromiter([*met, *map(again, shared)], np.uint32))
 
 
-class LinearScorer:
-    """Sum of the weights of the features that a text has, plus a bias, as a logistic score."""
+class KnownFeatures:
+    """Finds the features of a text that are among the given ones."""
 
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray, bias: float, memo: int = 400_000):
-        self.weight = dict(zip(hashes.tolist(), weights.tolist()))
-        self.bias = bias
+    def __init__(self, hashes: np.ndarray, memo: int = 400_000):
+        self.known = frozenset(hashes.tolist())
         self.limit = memo
         self._memo: dict[str, tuple[int, ...]] = {}
 
-    def margin(self, text: str) -> float:
-        memo, weight = self._memo, self.weight
+    def found(self, text: str) -> list[int]:
+        memo, known = self._memo, self.known
         if len(memo) > self.limit:
             memo.clear()
         met, shared = set(), set()
         for word in set(WORD.findall(text.lower())):
             own = memo.get(word)
             if own is None:
-                own = tuple(h for h in word_features(word) if h in weight or again(h) in weight)
+                own = tuple(h for h in word_features(word) if h in known or again(h) in known)
                 if len(word) <= 64:
                     memo[word] = own
             for h in own:
                 (shared if h in met else met).add(h)
-        found = met.union(map(again, shared))
-        return self.bias + sum(weight[h] for h in sorted(found) if h in weight)
+        return [h for h in met.union(map(again, shared)) if h in known]
+
+
+class LinearScorer:
+    """Sum of the weights of the features that a text has, plus a bias, as a logistic score."""
+
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, bias: float):
+        self.weight = dict(zip(hashes.tolist(), weights.tolist()))
+        self.bias = bias
+        self.features = KnownFeatures(hashes)
+
+    def margin(self, text: str) -> float:
+        return self.bias + sum(self.weight[h] for h in sorted(self.features.found(text)))
 
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.margin(text), -40, 40))))

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremill.llm.common import id_and_text
+from featuremill.llm.common import by_place, id_and_text, whole_text
 
 #: Documents of one block of the index.
 BLOCK_ROWS = 8192
@@ -220,11 +220,11 @@ def spans_text(spans: Column) -> Column:
 def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[REDACTED]") -> DataFrame:
     """``df`` (doc_id, text, ...) with every found span replaced by ``mark`` (overlapping spans
     by one) and, if there is such a column, n_chars of a changed text counted anew."""
-    found = find_spans(df, rules).select(F.col("doc_id").alias("_at_id"), F.col("text_hash").alias("_at_hash"),
-                                         F.col("spans").alias("_spans"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = df.withColumn("_own_hash", F.xxhash64(text)).join(
-        found, F.col("doc_id").eqNullSafe(F.col("_at_id")) & (F.col("_own_hash") == F.col("_at_hash")), "left")
+    found = find_spans(df, rules).select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "spans")
+    own, name = by_place(df)
+    text = whole_text(name["text"])
+    joined = own.withColumn("own_hash", F.xxhash64(text)).join(
+        found, F.col(name["doc_id"]).eqNullSafe(F.col("at_id")) & (F.col("own_hash") == F.col("at_hash")), "left")
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def cut(so_far: Column, span: Column) -> Column:
@@ -235,19 +235,15 @@ def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[REDACTE
             F.concat(so_far["out"], before, F.when(span["start"] >= so_far["at"], F.lit(mark))
                      .otherwise(F.lit(""))).alias("out"))
 
-    clean = F.aggregate("_spans", state, cut, lambda s: F.concat(
+    clean = F.aggregate("spans", state, cut, lambda s: F.concat(
         s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    changed = joined.withColumn("_clean", F.when(F.col("_spans").isNotNull(), clean))
-    out = []
-    for c in df.columns:
-        if c == "text":
-            out.append(F.coalesce("_clean", "text").alias(c))
-        elif c == "n_chars":
-            out.append(F.when(F.col("_clean").isNotNull(), F.length("_clean")).otherwise(F.col(c))
-                       .cast(df.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return changed.select(*out)
+    changed = joined.withColumn("clean", F.when(F.col("spans").isNotNull(), clean))
+    out = {c: F.col(c) for c in own.columns}
+    out[name["text"]] = F.coalesce("clean", name["text"])
+    if "n_chars" in name:
+        c = name["n_chars"]
+        out[c] = F.when(F.col("clean").isNotNull(), F.length("clean")).otherwise(F.col(c)).cast(own.schema[c].dataType)
+    return changed.select(*out.values()).toDF(*df.columns)
 
 
 def spans_of(text: str, rule: Rule) -> list[tuple[int, int]]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremill.llm.common import id_and_text, map_batches, stored
+from featuremill.llm.common import by_place, id_and_text, map_batches, stored, whole_text
 from featuremill.llm.components import connected_components
 
 BITS = 3
@@ -192,8 +192,9 @@ def keep_one_of_each(df: DataFrame, words: int = 3, distance: int = BITS) -> Dat
     found = near_duplicates(df, words, distance)
     best = (found.groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"))
-            .select(F.col("best.doc_id").alias("_keep_id"), F.col("best.text_hash").alias("_keep_hash")))
-    hashed = df.withColumn("_keep_own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return (hashed.join(best, hashed["doc_id"].eqNullSafe(best["_keep_id"])
-                        & (hashed["_keep_own"] == best["_keep_hash"]))
-            .dropDuplicates(["doc_id", "_keep_own"]).select(*[df[c] for c in df.columns]))
+            .select(F.col("best.doc_id").alias("keep_id"), F.col("best.text_hash").alias("keep_hash")))
+    own, name = by_place(df)
+    hashed = own.withColumn("own_hash", F.xxhash64(whole_text(name["text"])))
+    return (hashed.join(best, F.col(name["doc_id"]).eqNullSafe(F.col("keep_id"))
+                        & (F.col("own_hash") == F.col("keep_hash")))
+            .dropDuplicates([name["doc_id"], "own_hash"]).select(*own.columns).toDF(*df.columns))

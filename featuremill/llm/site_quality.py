@@ -10,9 +10,9 @@ adds the path's log odds over the global ones to the document's own.
 
 Defined results: a null text counts as empty; a null host or path is the site ''; an id with
 several labels is good only if all say so; without labels of both kinds every document has
-probability 0.5; repeated rows each give their own row; an empty table gives an empty
-result; further columns are ignored. Memory: one Arrow batch a task; the training sample's
-figures (``sample`` rows of 12 numbers) on the driver.
+probability 0.5; repeated rows each give their own row (and are one training row); an empty
+table gives an empty result; further columns are ignored. Memory: one Arrow batch a task; the
+training sample's figures (``sample`` rows of 12 numbers, twice as many at most) on the driver.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremill.llm.common import map_batches, stored, whole_text
+from featuremill.llm.samples import drawn, hashed_rows, labelled_rows, texts_of
 from featuremill.operators.skew import salted_left_join
 
 #: Labelled documents that the classifier is fitted on, at most twice as many.
@@ -83,21 +84,25 @@ class Logistic:
 def train(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Logistic:
     """The classifier from the texts of ``df`` (doc_id, text) and ``labels`` (doc_id, quality)."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    total = known.count()
-    share = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000)) < int(1_000_000 * sample / max(1, total)) + 1
-    chosen = known.where(share).limit(2 * sample)  # so the broadcast side is bounded
-    texts = (df.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
-             .dropDuplicates(["doc_id", "text"]).select("text", "quality"))
+             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label")))
+    rows = hashed_rows(df)
+    told = labelled_rows(rows, known)
+    chosen = told.where(drawn(told.count(), sample, "quality"))
+    texts = texts_of(rows, chosen, 2 * sample).select("doc_id", "text_hash", "text", "label")
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [figures(t).tobytes() for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column("quality").cast(pa.int32())],
-                                          names=["figures", "quality"])
-
-    got = map_batches(texts, measure, "figures binary, quality int").collect()
-    x = np.array([np.frombuffer(r.figures) for r in got]).reshape(-1, len(figures("")))
-    return Logistic(x, np.array([r.quality for r in got], float))
+        own = [figures(t).tobytes() for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), batch.column("label"), pa.array(own, pa.binary())],
+            names=["doc_id", "text_hash", "label", "figures"])
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = (map_batches(texts, measure, f"doc_id {id_type}, text_hash long, label int, figures binary")
+             .groupBy("doc_id", "text_hash").agg(F.first("label").alias("label"), F.first("figures").alias("figures"))
+             .collect())
+    got = sorted((bytes(r.figures), r.label) for r in found)  # sums of floats depend on the order
+    x = np.array([np.frombuffer(f) for f, _ in got]).reshape(-1, len(figures("")))
+    return Logistic(x, np.array([y for _, y in got], float))
 
 
 def url_host(url: Column) -> Column:

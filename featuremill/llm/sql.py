@@ -60,6 +60,9 @@ lines AS (SELECT r, line, count(*) AS n,
           FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
           WHERE regexp_matches(line, '{word}') GROUP BY r, line),
 dup AS (SELECT r, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines, sum(n * lc) FILTER (n > 1) AS lc FROM lines GROUP BY r),
+often AS (SELECT r, max(n * length(word)) AS tc
+          FROM (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM base) GROUP BY r, word)
+          WHERE n >= {quality_rules.WORD_TIMES} GROUP BY r),
 pos AS (SELECT r, nw, w, wc, unnest(range(1, nw + 1)) AS i FROM base),
 g AS (SELECT r, i, wc, length(w[i]) AS sz, {', '.join(grams)} FROM pos),
 c AS (SELECT *, {counts} FROM g),
@@ -68,11 +71,13 @@ s AS (SELECT r, CAST(coalesce(sum(v5), 0) AS BIGINT) AS n_repeat, {', '.join(sha
 a AS (SELECT doc_id, nw AS n_words, wc AS word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
              coalesce(n_repeat, 0) AS n_repeat_words,
              nw < 10 OR 100 * coalesce(n_repeat, 0) > 20 * nw AS base_failed,
-             CASE WHEN wc > 0 THEN coalesce(lc, 0) / wc::DOUBLE ELSE 0 END AS line_coverage, s.*
-      FROM base LEFT JOIN s USING (r) LEFT JOIN dup USING (r))
+             CASE WHEN wc > 0 THEN coalesce(lc, 0) / wc::DOUBLE ELSE 0 END AS line_coverage,
+             CASE WHEN wc > 0 THEN coalesce(tc, 0) / wc::DOUBLE ELSE 0 END AS word_coverage, s.*
+      FROM base LEFT JOIN s USING (r) LEFT JOIN dup USING (r) LEFT JOIN often USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND line_coverage <= {quality_rules.LINE_LIMIT} AND {limits} AS kept,
-       line_coverage, {out}
+       NOT base_failed AND line_coverage <= {quality_rules.LINE_LIMIT}
+         AND word_coverage <= {quality_rules.WORD_LIMIT} AND {limits} AS kept,
+       line_coverage, word_coverage, {out}
 FROM a"""
 
 

@@ -233,6 +233,20 @@ def test_quality_odd_rows(odd, none_at_all):
     assert quality_rules.repetition_coverage(none_at_all).count() == quality_rules.keep_good(none_at_all).count() == 0
 
 
+def test_one_word_that_covers_much():
+    text = " ".join(["###", *(f"word{i}" for i in range(12))] * 1)
+    assert quality_rules.measure(text)["word_coverage"] == 0.0  # found once
+    words = [w for i in range(40) for w in (f"w{i}x{i * i}", "###")]
+    got = quality_rules.measure(" ".join(words))
+    assert got["word_coverage"] == 120 / sum(map(len, words)) and not got["base_failed"] and not got["kept"]
+
+
+def test_the_coverage_decides(spark):
+    """Some documents that pass the base rule are rejected by the coverage alone."""
+    got = quality_rules.repetition_coverage(read(spark, SF01, "documents"))
+    assert got.where("NOT kept AND NOT base_failed").count() > 0
+
+
 def test_clean_documents_stay(spark):
     docs, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels")
     got = quality_rules.repetition_coverage(docs).join(labels, "doc_id").where("quality = 1 AND NOT base_failed")
@@ -270,6 +284,74 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert (again.weight, again.bias) == (scorer.weight, scorer.bias)
 
 
+def test_training_sample_is_bounded_in_rows(spark):
+    """Tied ids are rows of their own, repeated rows are one, null ids have no label."""
+    rows = [(5, f"text {i} of one id") for i in range(4000)] + [(7, "the same")] * 3000 + [(None, f"none {i}") for i in range(2000)]
+    rows += [(100 + i, f"other {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = [i for i in [5, 7, *range(100, 400)] if zlib.crc32(str(i).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, int(i < 110)) for i in ids], "doc_id long, toxic int")
+    got, prior = toxicity.training_rows(df, labels, positives=10, unlabelled=20)
+    again, _ = toxicity.training_rows(df.repartition(7), labels, positives=10, unlabelled=20)
+    assert [(r[0].tolist(), r[1:]) for r in got] == [(r[0].tolist(), r[1:]) for r in again]
+    assert 0 < sum(r[2] for r in got) <= 20 and 0 < sum(r[3] for r in got) <= 40
+    toxic = sum(1 for i, t in set(rows) if i is not None and i in ids and i < 110)
+    both = sum(1 for i, t in set(rows) if i is not None and i in ids)
+    assert abs(prior - min(0.9, toxic / both)) < 1e-12
+    model = site_quality.train(df, labels.withColumnRenamed("toxic", "quality"), sample=30)
+    assert np.isfinite(model.weights).all()
+
+
+def test_risk_and_gradient_against_plain():
+    """The risk, term by term, and its slope by small steps, on both sides of zero."""
+    rnd = np.random.default_rng(3)
+    vocabulary = np.arange(10, dtype=np.uint32)
+    texts = [np.flatnonzero(rnd.random(10) < 0.4).astype(np.uint32) for _ in range(40)]
+    positive, mixed = texts[:12], texts[8:]
+    p, u = features.SparseRows(positive, vocabulary), features.SparseRows(mixed, vocabulary)
+
+    def plain(x, prior):
+        score = lambda t: sum(x[int(h)] for h in t) + x[-1]
+        loss = lambda f: np.log1p(np.exp(-f))
+        of_p = sum(loss(score(t)) for t in positive) / len(positive)
+        of_u = sum(loss(-score(t)) for t in mixed) / len(mixed)
+        return prior * of_p, of_u - prior * sum(loss(-score(t)) for t in positive) / len(positive)
+
+    signs = set()
+    for trial in range(40):
+        x, prior = rnd.normal(0, 2, 11), [0.2, 0.9][trial % 2]
+        risk = plain(x, prior)
+        assert np.allclose(toxicity.pu_risk(x, p, u, prior), risk)
+        signs.add(risk[1] < 0)
+        want = []
+        for k in range(11):
+            step = np.eye(11)[k] * 1e-6
+            up, down = plain(x + step, prior), plain(x - step, prior)
+            want.append((-(up[1] - down[1]) if risk[1] < 0 else sum(up) - sum(down)) / 2e-6)
+        assert np.allclose(toxicity.pu_gradient(x, p, u, prior), want, atol=1e-6)
+    assert signs == {True, False}
+
+
+def test_feature_selection_against_plain(spark):
+    """Counts over all rows, and the z value of each feature of two or more toxic texts."""
+    docs = planted(400, 9)
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string").repartition(6)
+    positive = [features.text_features(t) for t, y in docs if y]
+    hashes, toxic = toxicity.candidate_features(positive)
+    in_all, n_all = toxicity.corpus_counts(df, hashes)
+    sets = [set(features.text_features(t).tolist()) for t, _ in docs]
+    n = len(positive)
+    want = {h for h in set().union(*(set(x.tolist()) for x in positive)) if sum(h in x for x in positive) > 1}
+    assert set(hashes.tolist()) == want and n_all == len(docs)
+    clear = set()
+    for h, a, b in zip(hashes.tolist(), toxic, in_all):
+        assert a == sum(h in x for x in positive) and b == sum(h in x for x in sets)
+        pooled = (a + b) / (n + n_all)
+        if a / n - b / n_all >= 3 * (max(pooled * (1 - pooled), 1e-12) * (1 / n + 1 / n_all)) ** 0.5:
+            clear.add(h)
+    assert set(toxicity.select_features(hashes, toxic, n, in_all, n_all).tolist()) == clear
+
+
 def test_scorer_sees_the_features_of_training():
     """The scorer's sum equals the weights of ``text_features``, shared beginnings included."""
     rnd = random.Random(6)

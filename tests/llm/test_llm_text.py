@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremill.llm import chat, quality_rules, queries, secrets, toxicity
+from featuremill.llm import chat, quality_rules, queries, secrets, simhash, toxicity
 from featuremill.llm.common import public_path, read
 from featuremill.plans.oracle import _norm
 
@@ -221,3 +221,29 @@ def test_pipeline_on_an_empty_table(spark):
         assert out.count() == 0
         if "text" in out.columns:
             docs = out
+
+
+#: Every name that an operator of the pipeline gives a column of its own.
+HELPERS = ("at_id", "at_hash", "own_hash", "spans", "clean", "keep_id", "keep_hash", "best", "root", "fp", "c0", "c1",
+           "c2", "row_key", "text_hash", "kinds", "m", "no_id", "_at_id", "_own_hash", "_spans", "_clean", "_keep_own",
+           "doc_tokens", "part", "nth", "start", "length", "label", "toxic", "hashes", "chosen_id", "known_id")
+
+
+def clashing(spark):
+    texts = ["token=abcdef123456 and more words here", "token=abcdef123456 and more words here", "plain words only",
+             None, ""]
+    rows = [(i, t, 7, *(f"{h}-{i}" for h in HELPERS)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_chars int, " + ", ".join(f"`{h}` string" for h in HELPERS))
+
+
+def test_pipeline_operators_keep_clashing_columns(spark):
+    df = clashing(spark)
+    clean = secrets.redact(df)
+    assert clean.schema == df.schema
+    for r in clean.collect():
+        assert all(r[h] == f"{h}-{r.doc_id}" for h in HELPERS)
+        assert "abcdef123456" not in (r.text or "") and (r.doc_id > 1 or r.n_chars == len(r.text))
+    one = simhash.keep_one_of_each(df)
+    assert one.schema == df.schema
+    assert sorted(r.doc_id for r in one.collect()) == [0, 2, 3]
+    assert all(r[h] == f"{h}-{r.doc_id}" for r in one.collect() for h in HELPERS)
