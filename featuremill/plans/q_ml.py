@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from featuremill.operators import models as M
 from featuremill.operators.evaluate import accuracy, confusion, exact_auc, roc_points
+from featuremill.operators.hashed import HashedFeatures
+from featuremill.operators.search import GridSearch
 from featuremill.operators.split import hash_split, split_label
 from featuremill.plans.catalog import T, register, role
 from featuremill.plans.q_features import flagship
@@ -130,6 +132,48 @@ def q_features(spark, sf):
                        F.posexplode(vector_to_array("features")).alias("idx", "value"))
 
 
+HASH_WIDTH = 64
+
+
+def _hashed(spark, sf):
+    m = role(spark, sf, "model")
+    return m, HashedFeatures.of(m, "target", exclude=("doc_id",), width=HASH_WIDTH)
+
+
+def _hashed_sql() -> str:
+    text = ", ".join(f"'{c}' || coalesce('=' || {c}, '')" for c in ("lang", "source"))
+    return f"""h AS (SELECT doc_id, name, ('0x' || substr(md5(name), 1, 8))::BIGINT % {HASH_WIDTH} AS slot,
+    CASE WHEN ('0x' || substr(md5(name), 9, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END AS sign
+  FROM (SELECT doc_id, unnest([{text}]) AS name FROM {T('model')}))"""
+
+
+@register("ml_hashed_features", sql=lambda: f"""
+WITH {_hashed_sql()},
+s AS (SELECT doc_id, slot, sum(sign) AS value FROM h GROUP BY doc_id, slot)
+SELECT doc_id, CAST(target AS DOUBLE) AS label, 0 AS idx, CAST(n_chars AS DOUBLE) AS value FROM {T('model')}
+UNION ALL
+SELECT m.doc_id, CAST(target AS DOUBLE), CAST(1 + p.slot AS INTEGER), CAST(coalesce(s.value, 0) AS DOUBLE)
+FROM {T('model')} m CROSS JOIN (SELECT unnest(range({HASH_WIDTH})) AS slot) p
+LEFT JOIN s ON s.doc_id = m.doc_id AND s.slot = p.slot""")
+def q_hashed_features(spark, sf):
+    """One row per document and position of its hashed vector, of the same width on every table."""
+    m, layout = _hashed(spark, sf)
+    return layout.transform(m, "target", keep=("doc_id",)).select(
+        "doc_id", "label", F.posexplode(vector_to_array("features")).alias("idx", "value"))
+
+
+@register("ml_hashed_names", sql=lambda: f"""
+WITH {_hashed_sql()},
+n AS (SELECT slot, sign, name, count(*) AS n FROM h GROUP BY slot, sign, name)
+SELECT CAST(slot AS INTEGER) AS slot, name, sign, n AS count, values FROM (
+  SELECT *, row_number() OVER (PARTITION BY slot ORDER BY n DESC, name) AS k,
+         count(*) OVER (PARTITION BY slot) AS values FROM n) WHERE k = 1""")
+def q_hashed_names(spark, sf):
+    """The clearest feature of every slot in use."""
+    m, layout = _hashed(spark, sf)
+    return layout.slot_names(m)
+
+
 def _pred(model, data):
     return M.scored(model, data, key="doc_id")
 
@@ -242,6 +286,14 @@ def q_tune_rf(spark, sf):
     return search(spark, sf, M.rf(), M.RF_GRID)
 
 
+@register("ml_tune_gbt")
+def q_tune_gbt(spark, sf):
+    """The boosted-tree grid whole: 18 settings with 10 folds, resumable (``operators.search``)."""
+    train, _ = _featurised(spark, sf)
+    grid = GridSearch(M.gbt(**M.GBT_DEFAULTS), M.GBT_GRID, scratch_path(spark, "gbt-search"))
+    return grid.table(spark, grid.run(train, "doc_id"))
+
+
 @register("ml_report")
 def q_report(spark, sf):
     """The model study on the flagship base table (no grid search in the query). The base
