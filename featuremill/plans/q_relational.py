@@ -20,6 +20,8 @@ from featuremill.plans.q_features import (_flag, _groups_sql, _in, _q, candidate
 from featuremill.session import scratch_path
 from featuremill.sources.files import (load_table, read_csv, read_json, register_views,
                                        sanitize_columns, save_table)
+from featuremill.sources.records import read_multiline_csv
+from featuremill.sources.shred import infer_shape, read_variants, shred
 
 # -- sources ----------------------------------------------------------------------------
 
@@ -40,6 +42,48 @@ def q_csv(spark, sf):
     return read_csv(spark, path, schema=o.schema)
 
 
+@register("scan_csv_multiline", sql=lambda: "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_multiline(spark, sf):
+    """Documents, whose texts hold line feeds, commas and quotes, through CSV files that are read in
+    parallel also inside a file (``sources.records``)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents-csv")
+    (docs.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return read_multiline_csv(spark, path, docs.schema)
+
+
+#: Lines of the event log that fit no schema: ``value`` as text, and a line broken off.
+_ODD_VALUE, _BROKEN = 50, 97
+
+
+@register("scan_json_variant", sql=lambda: f"""
+SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
+  CASE WHEN event_id % 10 = 0 THEN 'late' END AS note, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS bad_chars
+FROM events WHERE event_id % {_ODD_VALUE} <> 0 AND event_id % {_BROKEN} <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN event_id % {_BROKEN} = 0 THEN 'no JSON' ELSE 'value is not number' END,
+  CASE WHEN event_id % {_BROKEN} = 0 THEN 12 + length(CAST(event_id AS VARCHAR)) END
+FROM events WHERE event_id % {_ODD_VALUE} = 0 OR event_id % {_BROKEN} = 0""")
+def q_json_variant(spark, sf):
+    """The events as JSON lines of unknown shape, some of them odd: typed rows and the quarantine."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    odd, broken = F.col("event_id") % _ODD_VALUE == 0, F.col("event_id") % _BROKEN == 0
+    number = F.to_json(F.struct("event_id", "event_type", F.from_json("props", "k long").alias("props"), "value",
+                                F.when(F.col("event_id") % 10 == 0, "late").alias("note")))
+    line = (F.when(broken, F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string")))
+            .when(odd, F.to_json(F.struct("event_id", F.lit("n/a").alias("value")))).otherwise(number))
+    path = scratch_path(spark, "events-lines")
+    e.select(line.alias("value")).write.text(path)
+    variants = read_variants(spark, path)
+    typed, bad = shred(variants, infer_shape(variants))
+    size = F.when(F.col("reason") == "no JSON", F.length("line").cast("long"))
+    return typed.select("event_id", "event_type", "value", "props_k", "note", F.lit(None).cast("string").alias("reason"),
+                        F.lit(None).cast("long").alias("bad_chars")).union(
+        bad.select(*[F.lit(None).cast(t) for t in ("long", "string", "double", "long", "string")], "reason", size))
+
+
 @register("basetable_roundtrip", sql=flagship_sql)
 def q_basetable_roundtrip(spark, sf):
     """The base table saved as Parquet and loaded back (the notebook reads a saved base
