@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 
 from featuremill.operators.activity import (CHECKIN_NAMES, TIP_NAMES, activity_features,
                                             activity_span, checkin_spec, tip_spec)
-from featuremill.operators.basetable import base_table
-from featuremill.operators.encode import fill_defaults
+from featuremill.operators.basetable import assemble, base_table, label_table
+from featuremill.operators.encode import fill_defaults, label_target
 from featuremill.operators.rollup import (ROLLUP_COLUMNS, review_rollup, user_features)
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols, sql_activity, sql_to_date
 from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS,
                                       FREQUENT_CITY_COUNT, LEISURE_CATEGORIES, PRICE,
                                       TRUE_FLAGS, WIFI, fit_entity_features)
+from featuremill.session import scratch_path
+from featuremill.sources.versions import VersionedTables
 
 ROLLUP_AVGS = [c for c in ROLLUP_COLUMNS if c not in ("cool_reviews", "funny_reviews",
                                                       "useful_reviews")]
@@ -309,12 +311,29 @@ def q_flagship(spark, sf):
     return flagship(spark, sf)
 
 
+@register("basetable_bucketed", sql=flagship_sql)
+def q_flagship_bucketed(spark, sf):
+    """The base table from a version of bucketed feature tables: the joins on the entity key read
+    buckets and shuffle nothing (``sources.versions``)."""
+    store = VersionedTables(scratch_path(spark, "feature-versions"))
+    parts = {"entity": entity(spark, sf),
+             "label": label_table(role(spark, sf, "label"), "business_id", "delivery_or_takeout"),
+             "checkin": checkin_features(spark, sf), "tip": tip_features(spark, sf), "rollup": rollup(spark, sf)}
+    store.refresh(parts, "business_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return flagship_of_version(store.open(spark))
+
+
+def flagship_of_version(table):
+    """The base table over ``table(name)`` of one version."""
+    out = assemble(table("entity"), table("label"), [table(n) for n in ("checkin", "tip", "rollup")], "business_id")
+    return round_cols(label_target(fill_defaults(out), "delivery_or_takeout"), ROLLUP_AVGS)
+
+
 # -- streaming --------------------------------------------------------------------------
 
 @register("stream_activity_rollup", sql=lambda: f"SELECT * FROM {_checkin_sql()}")
 def q_stream_activity(spark, sf):
     """Check-in features kept up to date by a stream over the orders files."""
-    from featuremill.session import scratch_path
     from featuremill.streaming.activity import read_activity_features, refresh_activity
     spec = checkin_spec()
     schema = spark.read.parquet(f"{sf}/orders.parquet").schema  # footer only
