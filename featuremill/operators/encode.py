@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.columns import sanitize_name
 from featuremill.functions.predicates import contains_token, isin_any
-from featuremill.operators.skew import salted_left_join
+from featuremill.operators.skew import salted_left_join, written
 
 
 def _flag(cond: Column) -> Column:
@@ -216,20 +216,27 @@ class FrequentCategorySpec:
     """Fitted spec: the frequent values of ``column`` live in a Parquet table under the
     shared scratch folder; ``apply`` joins it, so nothing passes through the driver and
     there is no cap on the number of values. The output is one column holding the value
-    or ``others`` -- Spark ML's formula turns it into a sparse one-hot vector."""
+    or ``others`` -- Spark ML's formula turns it into a sparse one-hot vector. ``hot``: the
+    values that hold a large share of the fitted rows (fewer than 1,000), with that share, so
+    ``apply`` starts no job."""
     column: str
     table: str
     out: str
     others: str = "others"
     salt_from: tuple = ()
+    hot: tuple = ()
 
     def apply(self, df: DataFrame, drop: bool = True) -> DataFrame:
         _require(df, [self.column])
-        vals = df.sparkSession.read.parquet(self.table).select(F.col("value").alias("_fv"))
+        spark = df.sparkSession
+        vals = spark.read.schema("value string").parquet(self.table).select(F.col("value").alias("_fv"))
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        hot = spark.createDataFrame([(v, min(tasks, max(2, -int(-share * tasks // 1)))) for v, share in self.hot],
+                                    "_fv_key string, _spread int")
         # rows of a hot value, and rows without one, are spread over many tasks
         keyed = df.withColumn("_fv_key", F.col(self.column).cast("string"))
         out = salted_left_join(keyed, vals, "_fv_key", list(self.salt_from or df.columns),
-                               right_key="_fv")
+                               right_key="_fv", hot=hot)
         out = (out.withColumn(self.out, F.coalesce(F.col("_fv"), F.lit(self.others)))
                .drop("_fv", "_fv_key"))
         return out.drop(self.column) if drop and self.out != self.column else out
@@ -237,9 +244,15 @@ class FrequentCategorySpec:
 
 def fit_frequent_category(df: DataFrame, c: str, min_count: int, path: str,
                           count_of: str | None = None, out: str | None = None,
-                          others: str = "others") -> FrequentCategorySpec:
-    """Writes the values of ``c`` seen more than ``min_count`` times to ``path``."""
-    (frequent_values(df, c, min_count, count_of)
-     .select(F.col(c).cast("string").alias("value")).write.mode("overwrite").parquet(path))
-    return FrequentCategorySpec(c, path, out or f"{c}_group", others,
-                                (count_of,) if count_of else ())
+                          others: str = "others", max_hot: int = 1000) -> FrequentCategorySpec:
+    """Writes the values of ``c`` seen more than ``min_count`` times to ``path``. The counts of all
+    values are written first, once: the frequent and the hot values both come from them."""
+    n = F.count(count_of) if count_of else F.count(F.lit(1))
+    counts = written(df.groupBy(F.col(c).cast("string").alias("value"))
+                     .agg(n.alias("count"), F.count(F.lit(1)).alias("rows")), "value-counts")
+    known = counts.where("value is not null")
+    known.where(F.col("count") > min_count).select("value").write.mode("overwrite").parquet(path)
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    hot = known.where(F.col("rows") * max_hot > F.lit(total)).select("value", "rows").collect()
+    return FrequentCategorySpec(c, path, out or f"{c}_group", others, (count_of,) if count_of else (),
+                                tuple(sorted((r.value, r.rows / total) for r in hot)))

@@ -6,13 +6,14 @@ pair or a hot user costs one row per partition -- and every business measure is
 ratio of pair-level sums. No join at review grain: the only join is pairs x users on the
 user key. A user who reviewed a large share of all businesses has that many pairs, so the
 join is salted (``operators.skew``): such a user's pairs are spread over many tasks by a
-hash of the business, and pairs without a user (which match nothing) are spread too. Hot
-users are found by one narrow count over the reviews' user column.
+hash of the business, and pairs without a user (which match nothing) are spread too.
 
 The per-user useful average is a second, narrow aggregate read straight from the reviews
-(two columns, partial aggregation, one shuffle by user). Sharing the pair aggregate
-instead would need it materialised -- about one pair per review, so as large as the
-reviews themselves -- or a window per user, which puts a hot user in a single task.
+(two columns, partial aggregation, one shuffle by user). It is written once, with each user's
+number of reviews: these tell the hot users, so the reviews are read twice in all. Sharing
+the pair aggregate instead would need it materialised -- about one pair per review, so as
+large as the reviews themselves -- or a window per user, which puts a hot user in a single
+task.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from featuremill.functions.columns import list_size, sum_columns
 from featuremill.functions.dates import tenure_months
-from featuremill.operators.skew import held, hot_keys, salted_left_join
+from featuremill.operators.skew import hot_of_counts, salted_left_join, written
 
 # Fixed value: the as-of time of user tenure.
 USER_ASOF = "2020-07-01 00:00:00"
@@ -95,10 +96,11 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
         F.sum(funny).alias("_funny_sum"),
         F.sum(cool).alias("_cool_sum"),
     )
-    per_user = review.groupBy(user).agg(F.avg(useful).alias("avg_useful"))
+    per_user = written(review.groupBy(user).agg(F.avg(useful).alias("avg_useful"),
+                                                F.count(F.lit(1)).alias("_rows")), "per-user")
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
-    u = users.select(user, *measures).join(per_user, user, "left")
-    hot = held(hot_keys(review.select(user), user, max_hot, spread))
+    u = users.select(user, *measures).join(per_user.drop("_rows"), user, "left")
+    hot = hot_of_counts(per_user, user, max_hot=max_hot, tasks=spread)
     rows = salted_left_join(pair, u, user, salt_from=[business], spread=spread, hot=hot)
 
     n = F.col("_n")

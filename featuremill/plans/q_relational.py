@@ -9,7 +9,7 @@ from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
 from featuremill.operators.basetable import label_table
-from featuremill.operators.skew import salt_sides, salted_left_join
+from featuremill.operators.skew import hot_of_counts, salt_sides, salted_left_join, written
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
 from featuremill.plans.entity import (ALCOHOL, ALL_DAY, ATTIRE, CONTAINS_FLAGS, DAYS, PRICE,
@@ -95,6 +95,16 @@ def q_basetable_roundtrip(spark, sf):
     return back.toDF(*bt.columns)
 
 
+def _per_business(review):
+    """Each business's ratings, written once with its number of reviews, and the hot businesses
+    that these numbers tell."""
+    avg_b = written(review.groupBy("business_id").agg(
+        F.avg("stars").alias("business_stars"), F.count("review_id").alias("business_reviews"),
+        F.count(F.lit(1)).alias("_rows")), "per-business")
+    hot = hot_of_counts(avg_b, "business_id")
+    return avg_b.drop("_rows").withColumnRenamed("business_id", "rated_id"), hot
+
+
 @register("sql_view_inner_join", sql=lambda: f"""
 SELECT r.review_id, r.business_id, r.stars, a.business_stars, a.business_reviews
 FROM {T('review')} r,
@@ -103,13 +113,11 @@ FROM {T('review')} r,
 WHERE r.business_id = a.rated_id""")
 def q_sql_view(spark, sf):
     """Temp views + a comma join with a WHERE equality (Catalyst makes it an equi-join)."""
-    review = role(spark, sf, "review")
-    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("business_stars"),
-                                                F.count("review_id").alias("business_reviews"))
-             .withColumnRenamed("business_id", "rated_id"))
+    review = role(spark, sf, "review").select("review_id", "business_id", "stars")
+    avg_b, hot = _per_business(review)
     # the views carry a salt (hot businesses spread over many tasks, see operators.skew)
     review, avg_b = salt_sides(review, avg_b, "business_id", ["review_id"],
-                               right_key="rated_id")
+                               right_key="rated_id", hot=hot)
     register_views({"fm_review": review, "fm_avg_business": avg_b})
     return spark.sql("""SELECT r.review_id, r.business_id, r.stars,
         round(a.business_stars, 9) AS business_stars, a.business_reviews
@@ -154,13 +162,11 @@ FROM {T('review')} r LEFT JOIN
           count(review_id) AS business_reviews FROM {T('review')} GROUP BY business_id) a
   ON r.business_id = a.rated_id""")
 def q_rename_join(spark, sf):
-    review = role(spark, sf, "review")
-    avg_b = (review.groupBy("business_id").agg(F.avg("stars").alias("business_stars"),
-                                               F.count("review_id").alias("business_reviews"))
-             .withColumnRenamed("business_id", "rated_id"))
+    review = role(spark, sf, "review").select("review_id", "business_id", "stars")
+    avg_b, hot = _per_business(review)
     # a per-business figure joined back onto every review: a hot business is salted
     out = salted_left_join(review, avg_b, "business_id", ["review_id"],
-                           right_key="rated_id")
+                           right_key="rated_id", hot=hot)
     return round_cols(out.select("review_id", "business_id", "stars", "business_stars",
                                  "business_reviews"), ["business_stars"])
 
@@ -285,9 +291,10 @@ LEFT JOIN (SELECT business_id AS pair_business, user_id AS pair_user,
            FROM {T('review')} GROUP BY business_id, user_id) a
   ON r.business_id = a.pair_business AND r.user_id = a.pair_user""")
 def q_left_composite(spark, sf):
-    r = role(spark, sf, "review")
+    r = role(spark, sf, "review").select("review_id", "business_id", "user_id", "stars")
     a = (r.groupBy("business_id", "user_id").agg(F.avg("stars").alias("pair_stars"))
          .withColumnRenamed("business_id", "pair_business").withColumnRenamed("user_id", "pair_user"))
+    # there are about as many pairs as reviews, so their counts are not written; a sketch finds hot pairs
     out = salted_left_join(r, a, ["business_id", "user_id"], ["review_id"],
                            right_key=["pair_business", "pair_user"])
     out = out.select("review_id", "business_id", "user_id", "pair_stars")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featuremill.operators.evaluate import cumulative_counts, exact_auc
 from featuremill.operators.rollup import ROLLUP_COLUMNS, review_rollup
-from featuremill.operators.skew import hot_keys, salted_left_join
+from featuremill.operators.skew import hot_keys, hot_of_counts, salted_left_join, sketched
 
 from rollup_check import expected_rollup
 
@@ -103,6 +103,39 @@ def test_salted_join_spreads_hot_and_null_keys(spark):
     assert by_kind[None][0] > 1  # null keys
 
 
+def test_sketch_finds_every_hot_key(spark):
+    """Keys above the line are found among many rare ones, recounted exactly, with nulls and composite
+    keys; the sketch's shuffle holds one row a task."""
+    rnd = random.Random(11)
+    rows = [(rnd.choice([1, 2, 3]) if i % 10 == 0 else None if i % 10 == 1 else 100 + i, i % 2) for i in range(20000)]
+    df = spark.createDataFrame(rows, "k long, b int").repartition(6)
+    n, found = sketched(df, "k", max_hot=100)
+    assert n == 20000 and len(found) < 200
+    exact = {r.k: r.n for r in df.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hot = {k for k, c in exact.items() if c * 100 > n}
+    assert hot == {1, 2, 3}
+    assert {r.k for r in hot_keys(df, "k", max_hot=100).collect()} == hot
+    pairs = {(r.k, r.b) for r in hot_keys(df, ["k", "b"], max_hot=100).collect()}
+    counts = {}
+    for k, b in rows:
+        counts[k, b] = counts.get((k, b), 0) + 1
+    assert pairs == {p for p, c in counts.items() if c * 100 > n and p[0] is not None}
+    assert hot_keys(df.limit(0), "k").count() == 0
+    total = df.groupBy("k").agg(F.count(F.lit(1)).alias("_rows"))
+    by_counts = {r.k: r._spread for r in hot_of_counts(total, "k", max_hot=100, tasks=50).collect() if r.k is not None}
+    assert by_counts == {r.k: r._spread for r in hot_keys(df, "k", max_hot=100, tasks=50).collect()}
+
+
+def test_sketch_join_equals_plain_join(spark):
+    rows = [(1 if i % 3 == 0 else None if i % 3 == 1 else i % 500, i) for i in range(3000)]
+    left = spark.createDataFrame(rows, "k long, b long")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(0, 600)] + [(None, "null")], "k long, v string")
+    got = salted_left_join(left, right, "k", ["b"], spread=6, max_hot=20)
+    want = left.join(right, "k", "left")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def _pairwise_auc(rows):
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
