@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremill.functions.columns import is_missing
@@ -42,6 +42,15 @@ def value_counts(df: DataFrame, cols, count_of: str | None = None,
     return out
 
 
+def ranked_values(df: DataFrame, cols, k: int = 10, count_of: str | None = None) -> DataFrame:
+    """``value_counts`` with the ``rank`` of each value in its column, the ``k`` most frequent ones
+    of every column (equal counts by value, a null value first). Each task keeps its own first
+    ``k`` of a column before they are shuffled, so no column's values meet in one task."""
+    place = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())
+    counts = value_counts(df, cols, count_of, ordered=False)
+    return counts.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+
+
 def _missing_counts(df: DataFrame) -> DataFrame:
     """One row: ``_n`` rows and ``_m{i}`` missing values of column ``i``."""
     return df.agg(F.count(F.lit(1)).alias("_n"), *[

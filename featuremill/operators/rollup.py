@@ -74,6 +74,26 @@ def _wavg(x, weight):
     return F.try_divide(F.sum(x * weight), F.sum(F.when(x.isNotNull(), weight)))
 
 
+#: The sums of a (business, user) pair; they add up over any parts of the reviews.
+PAIR_SUMS = ("_n", "_n_id", "_stars_sum", "_stars_n", "_useful_sum", "_useful_n", "_funny_sum", "_cool_sum")
+
+
+def pair_sums(review: DataFrame, business: str = "business_id", user: str = "user_id",
+              review_id: str = "review_id", stars: str = "stars", useful: str = "useful", funny: str = "funny",
+              cool: str = "cool") -> DataFrame:
+    """Reviews reduced to one row per (business, user)."""
+    return review.groupBy(business, user).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count(review_id).alias("_n_id"),
+        F.sum(stars).alias("_stars_sum"),
+        F.count(stars).alias("_stars_n"),
+        F.sum(useful).alias("_useful_sum"),
+        F.count(useful).alias("_useful_n"),
+        F.sum(funny).alias("_funny_sum"),
+        F.sum(cool).alias("_cool_sum"),
+    )
+
+
 def review_rollup(review: DataFrame, users: DataFrame, business: str = "business_id",
                   user: str = "user_id", review_id: str = "review_id", stars: str = "stars",
                   useful: str = "useful", funny: str = "funny", cool: str = "cool",
@@ -86,22 +106,20 @@ def review_rollup(review: DataFrame, users: DataFrame, business: str = "business
     Users holding more than ``1 / max_hot`` of the reviews are cut into parts of about one
     task each (``spread`` tasks in all; default: the shuffle partitions).
     """
-    pair = review.groupBy(business, user).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(review_id).alias("_n_id"),
-        F.sum(stars).alias("_stars_sum"),
-        F.count(stars).alias("_stars_n"),
-        F.sum(useful).alias("_useful_sum"),
-        F.count(useful).alias("_useful_n"),
-        F.sum(funny).alias("_funny_sum"),
-        F.sum(cool).alias("_cool_sum"),
-    )
+    pair = pair_sums(review, business, user, review_id, stars, useful, funny, cool)
     per_user = written(review.groupBy(user).agg(F.avg(useful).alias("avg_useful"),
                                                 F.count(F.lit(1)).alias("_rows")), "per-user")
     measures = [m for m in ROLLUP_USER_MEASURES.values() if m != "avg_useful"]
     u = users.select(user, *measures).join(per_user.drop("_rows"), user, "left")
     hot = hot_of_counts(per_user, user, max_hot=max_hot, tasks=spread)
-    rows = salted_left_join(pair, u, user, salt_from=[business], spread=spread, hot=hot)
+    return rollup_of_pairs(pair, u, business, user, spread, hot)
+
+
+def rollup_of_pairs(pair: DataFrame, users: DataFrame, business: str = "business_id", user: str = "user_id",
+                    spread: int | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """The 15 measures per business from ``pair_sums`` and one row per user with all of
+    ``ROLLUP_USER_MEASURES``. ``hot``: the users to spread (default: a sketch finds them)."""
+    rows = salted_left_join(pair, users, user, salt_from=[business], spread=spread, hot=hot)
 
     n = F.col("_n")
     # the pair's own average rating, for pairs with a user (null users never match)

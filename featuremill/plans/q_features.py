@@ -346,3 +346,32 @@ def q_stream_activity(spark, sf):
 
     refresh_activity(spark, source, schema, spec, f"{base}/state", f"{base}/checkpoint", prepare)
     return read_activity_features(spark, f"{base}/state", spec)
+
+
+@register("stream_review_rollup", sql=lambda: f"SELECT * FROM {rollup_sql()}")
+def q_stream_rollup(spark, sf):
+    """The review roll-up after three arrivals of reviews, each folded into the state."""
+    from featuremill.streaming.rollup import RollupState, refresh_rollup
+    review = role(spark, sf, "review").select("review_id", "business_id", "user_id", "stars", "useful", "funny", "cool")
+    known, base = users(spark, sf), scratch_path(spark, "review-stream")
+    state = RollupState(f"{base}/state")
+    part = F.pmod(F.xxhash64("review_id"), F.lit(3))
+    for arrival in range(3):
+        review.where(part == arrival).write.parquet(f"{base}/arrivals/{arrival}")
+        refresh_rollup(spark, f"{base}/arrivals/*", review.schema, known, state, f"{base}/checkpoint")
+    return round_cols(state.read(spark), ROLLUP_AVGS)
+
+
+@register("stream_labels", sql=lambda: f"""
+SELECT b.business_id, b.city, l.delivery_or_takeout FROM {T('business')} b
+JOIN (SELECT DISTINCT business_id, delivery_or_takeout FROM {T('label')}) l
+  ON b.business_id = l.business_id""")
+def q_stream_labels(spark, sf):
+    """Labelled businesses after three arrivals of labels; the later ones repeat earlier labels."""
+    from featuremill.streaming.labels import read_labelled, refresh_labels
+    labels, base = role(spark, sf, "label").select("business_id", "delivery_or_takeout"), scratch_path(spark, "label-stream")
+    b, part = role(spark, sf, "business").select("business_id", "city"), F.col("business_id") % 4
+    for arrival, rows in enumerate((labels.where(part < 2), labels.where(part < 3), labels.where(part != 1))):
+        rows.write.parquet(f"{base}/arrivals/{arrival}")
+        refresh_labels(spark, f"{base}/arrivals/*", labels.schema, b, f"{base}/table", f"{base}/checkpoint")
+    return read_labelled(spark, f"{base}/table")

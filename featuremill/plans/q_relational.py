@@ -9,6 +9,7 @@ from featuremill.functions.predicates import flag_set, not_true
 from featuremill.operators import encode as E
 from featuremill.operators import profile as P
 from featuremill.operators.basetable import label_table
+from featuremill.operators.profile_store import ProfileStore
 from featuremill.operators.skew import hot_of_counts, salt_sides, salted_left_join, written
 from featuremill.plans import standins as S
 from featuremill.plans.catalog import T, register, role, round_cols
@@ -320,6 +321,19 @@ def q_value_counts(spark, sf):
     return P.value_counts(b.withColumns(cats), (*VC_COLS, *cats), count_of="business_id")
 
 
+RANKED_COLS = (*VC_COLS, "hours_Saturday")
+RANKS = 5
+
+
+@register("agg_ranked_values", sql=lambda: "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY column_name "
+          "ORDER BY count DESC, value ASC NULLS FIRST) AS INTEGER) AS rank FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS STRING) AS value, count(business_id) AS count "
+    f"FROM {T('business')} GROUP BY ALL" for c in RANKED_COLS) + f")) WHERE rank <= {RANKS}")
+def q_ranked_values(spark, sf):
+    """The most frequent values of each column with their rank."""
+    return P.ranked_values(role(spark, sf, "business"), RANKED_COLS, RANKS, count_of="business_id")
+
+
 def _business_flagged(spark, sf):
     return with_leisure_flag(role(spark, sf, "business"))
 
@@ -347,6 +361,16 @@ def q_null_profile(spark, sf):
     return P.null_profile(_business_flagged(spark, sf))
 
 
+@register("agg_null_profile_merged", sql=_null_profile_sql)
+def q_null_profile_merged(spark, sf):
+    """The null profile after two arrivals, merged from their profile rows."""
+    b = _business_flagged(spark, sf)
+    store = ProfileStore(scratch_path(spark, "null-profile"))
+    store.add(b.where("business_id % 3 = 0"), 0)
+    store.add(b.where("business_id % 3 <> 0"), 1)
+    return store.profile(spark).select("column_name", "n_missing", "n_rows", "missing_share")
+
+
 @register("agg_null_filter", sql=lambda: f"""
 SELECT *, CASE WHEN coalesce(missing_share <= 0.75, n_rows = 0) THEN 1 ELSE 0 END AS kept
 FROM ({_null_profile_sql()})""")
