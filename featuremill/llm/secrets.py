@@ -125,12 +125,32 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
 
 # -- index, candidates, verification -------------------------------------------------------
 
-def postings(rows: DataFrame, trigrams: list[str], blocks: int) -> DataFrame:
-    """The inverted index (block, trigram, docs) of ``rows`` (row_key, text) for the trigrams
-    that the rules ask for."""
-    low = F.lower("text")
-    held = F.filter(F.array(*map(F.lit, trigrams)), lambda t: F.contains(low, t))
-    return (rows.select("row_key", F.explode(held).alias("trigram"))
+def gates(alternatives: list[frozenset[str]]) -> dict[str, list[frozenset[str]]]:
+    """Alternatives by one of their trigrams, as few different ones as a greedy choice finds: a text
+    without it needs no test for the others."""
+    rest, out = sorted(set(alternatives), key=sorted), {}
+    while rest:
+        count = {}
+        for grams in rest:
+            for t in grams:
+                count[t] = count.get(t, 0) + 1
+        gate = min(count, key=lambda t: (-count[t], t))
+        out[gate] = [g for g in rest if gate in g]
+        rest = [g for g in rest if gate not in g]
+    return out
+
+
+def postings(rows: DataFrame, alternatives: list[frozenset[str]], blocks: int) -> DataFrame:
+    """The inverted index (block, trigram, docs) of ``rows`` (row_key, text) for the trigrams that the
+    rules ask for. A text is listed under an alternative's trigrams if it holds their gate."""
+    def held(gate: str, own: list[frozenset[str]]) -> Column:
+        others = sorted(set().union(*own) - {gate})
+        return F.when(F.contains("low", F.lit(gate)), F.array(F.lit(gate), *[
+            F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in others]))
+
+    lists = [F.coalesce(held(g, own), F.array().cast("array<string>")) for g, own in gates(alternatives).items()]
+    return (rows.select("row_key", F.lower("text").alias("low"))
+            .select("row_key", F.explode(F.array_compact(F.concat(*lists))).alias("trigram"))
             .groupBy(F.pmod("row_key", F.lit(blocks)).alias("block"), "trigram")
             .agg(F.collect_set("row_key").alias("docs")))
 
@@ -183,8 +203,7 @@ def find_spans(df: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "do
         found.append(rows.select("doc_id", "text_hash", F.explode(F.concat(*hits)).alias("m")))
     if indexed:
         blocks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // BLOCK_ROWS))
-        trigrams = sorted({t for q in indexed.values() for grams in q for t in grams})
-        passed = candidates(postings(rows, trigrams, blocks), indexed)
+        passed = candidates(postings(rows, [grams for q in indexed.values() for grams in q], blocks), indexed)
         hits = [_matches(r, F.array_contains("kinds", r.kind)) for r in rules if r.kind in indexed]
         found.append(rows.join(passed, "row_key")
                      .select("doc_id", "text_hash", F.explode(F.concat(*hits)).alias("m")))

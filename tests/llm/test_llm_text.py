@@ -95,6 +95,25 @@ def test_redaction(spark):
         assert r.text == redact_by_force(texts[r.doc_id]) and r.n_chars == len(r.text)
 
 
+def test_gates_cover_every_alternative():
+    alternatives = [a for r in secrets.RULES for a in secrets.trigram_query(r.pattern) or []]
+    found = secrets.gates(alternatives)
+    assert {a for own in found.values() for a in own} == set(alternatives)
+    assert all(gate in a for gate, own in found.items() for a in own) and len(found) < len(alternatives)
+
+
+def test_postings_lead_to_the_same_candidates(spark):
+    """The rows that an alternative's trigrams lead to are those whose texts hold all of them."""
+    texts = ["my password here", "passwd", "pas ass ssw swo wor ord", "nothing", "a key, an api", "api_key", "xoxb-1", "XOXA-2",
+             "xox xb-", "", "AKIA", "-----begin a private key-----", "the monkey", "gho_ ghp_"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_key long, text string")
+    queries_ = {r.kind: q for r in secrets.RULES if (q := secrets.trigram_query(r.pattern))}
+    index = secrets.postings(rows, [a for q in queries_.values() for a in q], 3)
+    got = {r.row_key: set(r.kinds) for r in secrets.candidates(index, queries_).collect()}
+    want = {i: {k for k, q in queries_.items() if any(all(t in x.lower() for t in a) for a in q)} for i, x in enumerate(texts)}
+    assert got == {i: k for i, k in want.items() if k}
+
+
 def test_secret_odd_rows(odd, none_at_all):
     got = secrets.scan(odd).collect()
     assert len(got) == odd.count()
@@ -247,3 +266,15 @@ def test_pipeline_operators_keep_clashing_columns(spark):
     assert one.schema == df.schema
     assert sorted(r.doc_id for r in one.collect()) == [0, 2, 3]
     assert all(r[h] == f"{h}-{r.doc_id}" for r in one.collect() for h in HELPERS)
+
+
+def test_pipeline_on_odd_rows(spark, odd, monkeypatch):
+    """run() over null and tied ids, null, empty and long texts, repeated rows and clashing names."""
+    monkeypatch.setattr(corpus_pipeline, "read", lambda s, d, t: odd if t == "documents" else read(s, d, t))
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert out.columns == odd.columns and out.count() <= docs.count(), name
+        docs = spark.createDataFrame(out.toArrow(), out.schema)
+    pieces = corpus_pipeline.run(spark, SF001)
+    assert pieces.select("doc_id", "doc_tokens").distinct().count() == docs.select("doc_id").distinct().count()
