@@ -137,4 +137,4 @@ QUERIES = {f.__name__: f for f in (
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force.
 ORACLES = {"op2_secret_scan": sql.secret_scan, "op3_repetition_coverage": sql.repetition_coverage,
-           "op5_chat_format": sql.chat_format}
+           "op5_chat_format": sql.chat_format, "op11_turn_repair": sql.turn_repair}

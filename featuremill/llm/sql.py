@@ -103,3 +103,77 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || x || c
        CAST(sum(length({escaped}) + CASE role {around} ELSE length(role) + {extra} END) AS BIGINT) AS formatted_chars,
        bool_and({allowed}) AND max(CASE WHEN after IS NULL THEN role END) = 'assistant' AS valid
 FROM o GROUP BY conv_id"""
+
+
+def turn_repair() -> str:
+    """The damage, then all edits by a recursion over the turns of every conversation, which carries the
+    cheapest (cost, audit) for each kind of what has been written last."""
+    seen = r"[^\x20\x09-\x0D]"
+    kind = "STRUCT(c BIGINT, a VARCHAR)"
+
+    def plus(state: str, cost, sign: str) -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || {sign}}}::{kind} END"
+
+    def best(*of: str) -> str:
+        return f"least({', '.join(of)})"
+
+    insert_u = best("nu", *(plus(x, 5, "'I'") for x in ("n0", "ns", "na")))
+    kept_u = (f"{{0}} + CASE WHEN initial = 'u' THEN 0 ELSE 1 END", "CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END")
+    kept_a = (f"{{0}} + CASE WHEN initial = 'a' THEN 0 ELSE 1 END", "CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END")
+    more = "(CASE WHEN cut THEN 5 ELSE 0 END)"
+
+    def unless_gone(state: str, cost: str, sign: str, also: str = "true") -> str:
+        return f"CASE WHEN NOT gone AND {also} THEN {plus(state, cost, sign)} END"
+
+    next_u = best(plus("iu", 2, "'D'"), *(unless_gone(x, kept_u[0].format(more), kept_u[1]) for x in ("n0", "ns", "ia")))
+    next_a = best(plus("ia", 2, "'D'"), unless_gone("iu", kept_a[0].format(more), kept_a[1]))
+    next_s = best(plus("ns", 2, "'D'"), unless_gone("n0", more, "'K'", "initial = 's'"))
+    byte_step = ("list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], "
+                 "lambda x, z: xor(x >> 1, (x & 1) * 3988292384))")
+    crc = (f"xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(s) + 1), lambda i: ord(s[i])::BIGINT), "
+           f"lambda c, b: {byte_step}), 4294967295)")
+    return f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+f AS (SELECT *, {crc} % 20 AS fault FROM src),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM f WHERE fault <> 0),
+o AS (SELECT *, left(role, 1) AS initial,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS times,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS before,
+             NOT regexp_matches(text, '{seen}') AS blank,
+             NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS open_end FROM d),
+t AS (SELECT *, blank OR times > 1 AS gone, NOT blank AND times = 1 AND open_end AS cut FROM o),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': ''}}::{kind} AS n0, CAST(NULL AS {kind}) AS ns,
+             CAST(NULL AS {kind}) AS nu, CAST(NULL AS {kind}) AS na FROM t GROUP BY conv_id
+      UNION ALL
+      SELECT conv_id, i, {plus('n0', 2, "'D'")}, {next_s}, {next_u}, {next_a}
+      FROM (SELECT *, {best('na', plus('iu', 5, "'I'"))} AS ia
+            FROM (SELECT t.conv_id, t.i, initial, gone, cut, n0, ns, na, {insert_u} AS iu
+                  FROM w JOIN t ON w.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = w.i + 1))),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND times > 1) AS duplicate,
+                 count(*) FILTER (cut) AS truncated,
+                 count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM t GROUP BY conv_id),
+done AS (SELECT w.conv_id, {best('n0', 'na', plus(f'({insert_u})', 5, "'I'"))} AS found
+         FROM w JOIN facts ON w.conv_id IS NOT DISTINCT FROM facts.conv_id AND w.i = facts.n),
+steps AS (SELECT conv_id, found.a AS audit, unnest(range(1, length(found.a) + 1)) AS k FROM done),
+acts AS (SELECT conv_id, k, audit[k] AS sign,
+                count(*) FILTER (audit[k] <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i,
+                count(*) FILTER (audit[k] <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS place FROM steps),
+wrote AS (SELECT a.conv_id, sign, place, t.role, CASE WHEN sign = 'I' THEN '' ELSE t.text END AS text,
+                 max(CASE WHEN place = 1 AND sign = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY a.conv_id) AS s
+          FROM acts a LEFT JOIN t ON a.conv_id IS NOT DISTINCT FROM t.conv_id AND a.i = t.i WHERE sign <> 'D'),
+told AS (SELECT conv_id, sha256(string_agg(CASE WHEN sign = 'K' THEN role WHEN (place - s) % 2 = 1 THEN 'user'
+                                                ELSE 'assistant' END || ':' || text, chr(10) ORDER BY place)) AS digest
+         FROM wrote GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(found.c, 0) AS cost,
+       coalesce(found.a, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts ON c.conv_id IS NOT DISTINCT FROM facts.conv_id
+LEFT JOIN done ON c.conv_id IS NOT DISTINCT FROM done.conv_id
+LEFT JOIN told ON c.conv_id IS NOT DISTINCT FROM told.conv_id"""
