@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featuremill.operators import audit as A
 from featuremill.operators import models as M
 from featuremill.operators.evaluate import accuracy, confusion, exact_auc, roc_points
 from featuremill.operators.hashed import HashedFeatures
@@ -220,6 +221,84 @@ def q_tuned_p1(spark, sf):
     return M.positive_probability(model.transform(test)).select("doc_id", "p1")
 
 
+def _test_rows_sql(columns: str) -> str:
+    return f"SELECT doc_id, {columns} FROM {T('model')} WHERE {_hash_bucket_sql('doc_id')} >= 80"
+
+
+@register("ml_lr_follows", sql=lambda: _test_rows_sql("TRUE AS agrees, TRUE AS decided"))
+def q_lr_follows(spark, sf):
+    """Every test row's probability worked out again from the exported coefficients."""
+    train, test = _featurised(spark, sf)
+    return A.check_linear(M.fit_lr(train), test, "doc_id")
+
+
+@register("ml_rf_follows", sql=lambda: _test_rows_sql("TRUE AS agrees, TRUE AS decided"))
+def q_rf_follows(spark, sf):
+    """The same from the forest's single trees."""
+    train, test = _featurised(spark, sf)
+    return A.check_forest(M.fit_rf(train, **M.RF_TUNED), test, "doc_id")
+
+
+@register("ml_gbt_follows", sql=lambda: _test_rows_sql("TRUE AS agrees, TRUE AS decided"))
+def q_gbt_follows(spark, sf):
+    """The same from the boosted trees and their weights."""
+    train, test = _featurised(spark, sf)
+    return A.check_boosted(M.fit_gbt(train, **M.GBT_TUNED), test, "doc_id")
+
+
+@register("ml_summary_follows", sql=lambda: """
+SELECT model, metric, TRUE AS agrees FROM (SELECT unnest(['lr', 'rf', 'gbt']) AS model) CROSS JOIN
+  (SELECT unnest(['auc', 'accuracy']) AS metric)""")
+def q_summary_follows(spark, sf):
+    """The training summary against a second way to each metric: rank sums, and counted agreement."""
+    train, _ = _featurised(spark, sf)
+    parts = []
+    for name, model in {"lr": M.fit_lr(train), "rf": M.fit_rf(train), "gbt": M.fit_gbt(train)}.items():
+        pred = M.scored(model, train)
+        again = A.rank_sum_auc(pred).select(F.lit("auc").alias("metric"), F.col("auc").alias("again")).union(
+            pred.agg((F.count_if(F.col("label") == F.col("prediction")) / F.count(F.lit(1))).alias("again"))
+            .select(F.lit("accuracy").alias("metric"), "again"))
+        parts.append(M.training_summary(model, train).join(again, "metric").select(
+            F.lit(name).alias("model"), "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("agrees")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _n_features_sql() -> str:
+    train = f"(SELECT * FROM {T('model')} WHERE {_hash_bucket_sql('doc_id')} < 80)"
+    return f"(SELECT 1 + count(DISTINCT lang) + count(DISTINCT source) FROM {train})"
+
+
+@register("ml_importance_follows", sql=lambda: f"""
+SELECT unnest(range(1, n + 1)) AS rank, TRUE AS ordered, TRUE AS positive, 1.0::DOUBLE AS total
+FROM (SELECT {_n_features_sql()} AS n)""")
+def q_importance_follows(spark, sf):
+    """The sorted importances: one for every feature of the formula, none negative, falling, one in all."""
+    train, _ = _featurised(spark, sf)
+    imp = M.feature_importance(M.fit_rf(train), train)
+    place = Window.orderBy(F.col("score").desc(), "idx")  # one row a feature
+    return imp.select(
+        F.row_number().over(place).cast("long").alias("rank"),
+        F.coalesce(F.lag("score").over(place) >= F.col("score"), F.lit(True)).alias("ordered"),
+        (F.col("score") >= 0).alias("positive"),
+        F.round(F.sum("score").over(Window.partitionBy(F.lit(1))), 9).alias("total"))
+
+
+@register("ml_selection_follows", sql=lambda: _test_rows_sql("TRUE AS agrees, TRUE AS decided"))
+def q_selection_follows(spark, sf):
+    """The refit on the selected columns follows from its trees, whose vector holds only those columns."""
+    m = role(spark, sf, "model")
+    train_raw, test_raw = hash_split(m, "doc_id", M.TRAIN_FRACTION, SALT)
+    train, _ = _featurised(spark, sf)
+    imp = M.feature_importance(M.fit_rf(train), train)
+    keep = M.important_columns(imp, m.select("n_chars", "lang", "source"), M.SELECT_IMPORTANCE)
+    cols = ["doc_id", "target", *keep]
+    formula = M.fit_features(train_raw.select(*cols), "target", exclude=("doc_id",))
+    own = formula.transform(test_raw.select(*cols))
+    told = A.check_forest(M.refit_rf(formula.transform(train_raw.select(*cols))), own, "doc_id")
+    only = all(any(n == c or n.startswith(f"{c}_") for c in keep) for n in M.attribute_names(own))
+    return told.withColumn("agrees", F.col("agrees") & F.lit(only))
+
+
 @register("ml_training_summary")
 def q_summary(spark, sf):
     train, _ = _featurised(spark, sf)

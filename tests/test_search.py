@@ -136,3 +136,25 @@ def test_weights_under_the_clearest_names(spark):
 def test_report_on_hashed_features(spark):
     rows = run_models(_separable(spark, 300), hash_width=16).collect()
     assert all(r["auc"] > 0.8 for r in rows if r["split"] == "train") and len({r["model"] for r in rows}) == 6
+
+
+# -- models that follow from their parameters ----------------------------------------------------
+
+def test_rank_sum_equals_exact_auc(spark):
+    import random
+    from featuremill.operators.audit import rank_sum_auc
+    r = random.Random(4)
+    rows = [(r.randint(0, 1), r.choice([0.0, 0.25, 1.0, round(r.random(), 2), r.random()])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "label int, p1 double").repartition(5)
+    assert abs(rank_sum_auc(df).first().auc - exact_auc(df, "label", "p1").first().auc) < 1e-12
+    assert rank_sum_auc(df.where("label = 1")).first().auc is None
+
+
+def test_audit_tells_a_wrong_model(spark):
+    from featuremill.operators import audit
+    data = _train(spark, 120)
+    model = M.fit_lr(data.select("features", "label"), maxIter=3)
+    good = audit.check_linear(model, data, "business_id")
+    assert good.where("agrees AND decided").count() == 120
+    off = audit._agrees(model.transform(data), vector_to_array("probability").getItem(1) + 1e-6, "business_id")
+    assert off.where("agrees").count() == 0
