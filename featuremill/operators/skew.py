@@ -49,6 +49,8 @@ def _tasks(df: DataFrame, tasks: int | None) -> int:
 
 #: The sketch tracks so many times ``max_hot`` keys, which holds its error well below 1 / max_hot.
 TRACKED = 16
+#: Tasks whose sketches are merged in one place.
+SKETCH_TASKS = 200
 
 
 def _key_hash(keys) -> Column:
@@ -66,12 +68,21 @@ def sketched(df: DataFrame, key, max_hot: int = 1000) -> tuple[int, dict[int, in
     ``1 / max_hot`` of the rows is there, with a few below. Keys with a null are left out."""
     keys = _names(key)
     whole = reduce(and_, [F.col(c).isNotNull() for c in keys])
+    # the tasks' sketches are merged by ``SKETCH_TASKS``, so no task merges more, however many there are;
+    # a key's counts are then summed over the groups that list it (one unlisted is within the error)
+    own = df.select(_key_hash(keys).alias("_key"), whole.alias("_whole"),
+                    F.floor(F.spark_partition_id() / F.lit(SKETCH_TASKS)).alias("_group"))
     top = F.expr(f"approx_top_k(_key, {2 * max_hot}, {TRACKED * max_hot}) FILTER (WHERE _whole)")
-    row = (df.select(_key_hash(keys).alias("_key"), whole.alias("_whole"))
-           .agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first())
+    rows = F.struct(F.lit(None).cast("long").alias("item"), F.col("_n").alias("count"))  # all rows of a group
+    found = (own.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), top.alias("_top"))
+             .select(F.explode(F.concat(F.array(rows), F.coalesce("_top", F.array().cast(
+                 "array<struct<item:bigint,count:bigint>>")))).alias("_i"))
+             .groupBy("_i.item").agg(F.sum("_i.count").alias("count"))
+             .orderBy(F.col("count").desc(), F.col("item").asc_nulls_first()).limit(2 * max_hot + 1).collect())
+    n = sum(r["count"] for r in found if r.item is None)
     # the sketch may be wrong by 3.5 rows in every ``TRACKED * max_hot``
     slack = 3.5 / (TRACKED * max_hot)
-    return row.n, {r.item: r["count"] for r in row.top or () if r["count"] >= row.n * (1 / max_hot - slack)}
+    return n, {r.item: r["count"] for r in found if r.item is not None and r["count"] >= n * (1 / max_hot - slack)}
 
 
 def hot_hashes(df: DataFrame, key, max_hot: int = 1000, tasks: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from featuremill.operators import skew
 from featuremill.operators.evaluate import cumulative_counts, exact_auc
 from featuremill.operators.rollup import ROLLUP_COLUMNS, review_rollup
 from featuremill.operators.skew import hot_keys, hot_of_counts, salted_left_join, sketched
@@ -126,6 +127,15 @@ def test_sketch_finds_every_hot_key(spark):
     assert by_counts == {r.k: r._spread for r in hot_keys(df, "k", max_hot=100, tasks=50).collect()}
 
 
+def test_sketches_merged_in_groups(spark, monkeypatch):
+    """Keys that single groups of tasks see little of are found all the same."""
+    monkeypatch.setattr(skew, "SKETCH_TASKS", 2)
+    rows = [(7 if i % 40 == 0 else 1000 + i,) for i in range(8000)]
+    df = spark.createDataFrame(rows, "k long").repartition(11)
+    n, found = sketched(df, "k", max_hot=50)
+    assert n == 8000 and {r.k for r in hot_keys(df, "k", max_hot=50).collect()} == {7} and len(found) < 100
+
+
 def test_sketch_join_equals_plain_join(spark):
     rows = [(1 if i % 3 == 0 else None if i % 3 == 1 else i % 500, i) for i in range(3000)]
     left = spark.createDataFrame(rows, "k long, b long")
