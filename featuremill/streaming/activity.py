@@ -15,20 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremill.functions.columns import cast_safe
-from featuremill.functions.dates import rate_per_year, recency_months, span_years, to_date_safe
-from featuremill.operators.activity import ActivitySpec
+from featuremill.functions.dates import rate_per_year, recency_months, span_years
+from featuremill.operators.activity import ActivitySpec, activity_span
 
 
 def activity_state(events: DataFrame, spec: ActivitySpec) -> DataFrame:
     """Running ``_first, _last, count, sums`` per key (works on a streaming DataFrame)."""
-    day = to_date_safe(spec.ts, events.schema[spec.ts].dataType)
-    n = spec.names
-    aggs = [F.min(day).alias("_first"), F.max(day).alias("_last"),
-            (F.count(spec.count_of) if spec.count_of else F.count(F.lit(1))).alias(n.count)]
-    for out, (c, cast_to) in spec.sums.items():
-        aggs.append(F.sum(cast_safe(c, cast_to) if cast_to else F.col(c)).alias(out))
-    return events.groupBy(spec.key).agg(*aggs)
+    return activity_span(events, spec.key, spec.ts, spec.count_of, spec.names.count, spec.sums)
 
 
 def refresh_activity(spark: SparkSession, source: str, schema, spec: ActivitySpec,
