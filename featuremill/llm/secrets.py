@@ -15,7 +15,9 @@ operations; no Python runs on the executors.
 
 Defined results: a null text counts as empty; repeated rows each give a row with the same
 spans; ids may be null or tied (a row is known by its id and the hash of its text); an
-empty table gives an empty result; further columns are ignored, and kept by ``redact``.
+empty table gives an empty result; further columns are ignored, and kept by ``redact``, whatever
+their names. A very long text is searched whole, in the task that holds its row; its matches, not
+the text, are what is shuffled.
 """
 
 from __future__ import annotations

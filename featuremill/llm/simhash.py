@@ -16,7 +16,9 @@ which at most 2^16 different fingerprints can meet.
 
 Defined results: null texts count as empty (fingerprint zero, linked like any other); a null
 id is no candidate for the smallest id of its component; repeated rows are members of their
-component like others; an empty table gives an empty result; further columns are ignored.
+component like others; an empty table gives an empty result; further columns are ignored (and kept
+by ``keep_one_of_each``). Memory per task: one Arrow batch, the shingle hashes of its longest text
+(8 bytes a word), or the members of one key.
 """
 
 from __future__ import annotations
