@@ -3,9 +3,11 @@ read back as the next one's documents: quality rules and toxicity reject documen
 near-dedup keeps one document of each group, the secret scan blanks what it finds, and packing
 lays the rest into windows of tokens.
 
-Stages keep the columns of ``documents`` (further ones included), but for the last, which
-returns the packed pieces. Empty tables, null texts and null ids pass through as the operators
-define it.
+Stages keep the columns of ``documents`` (further ones included, whatever their names), but for the
+last, which returns the packed pieces. An empty table gives an empty result; a null text counts
+as empty (so the quality rules reject it); null ids stay; rows that share an id are documents of
+their own, told apart by their texts; of repeated rows near-dedup keeps one; very long texts are
+taken whole, one Arrow batch and one text's figures at a time.
 """
 
 from __future__ import annotations
