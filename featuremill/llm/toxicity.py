@@ -6,8 +6,8 @@ model in numpy by the non-negative risk estimator: with the class prior p,
 below zero, the step undoes it, so the model cannot drive the risk of the negatives below
 what they can have. The prior is the share of toxic rows among the labelled training rows.
 
-The candidates for features are what the toxic examples hold; how often each occurs is counted
-over all documents by a Spark aggregate, and those clearly more frequent among the toxic
+The candidates for features are what the toxic examples hold more often than the unlabelled ones
+of the samples; how often each occurs is counted over all documents by a Spark aggregate, and those clearly more frequent among the toxic
 examples are kept. The gradient steps read two bounded samples of the labelled training rows
 (about ``positives`` toxic ones, and about ``unlabelled`` ones of both kinds whose labels the
 risk does not see, so the prior is theirs), drawn by a hash of id and text and bounded in rows.
@@ -52,10 +52,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def candidate_features(positive: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the features that two or more toxic texts have, and how many have each."""
+def candidate_features(positive: list[np.ndarray], mixed: list[np.ndarray] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the features that two or more toxic texts have, and a larger share of them than of the
+    unlabelled sample; and how many toxic texts have each."""
     hashes, n = np.unique(np.concatenate([*positive, np.empty(0, np.uint32)]), return_counts=True)
-    return hashes[n > 1], n[n > 1]
+    other, m = np.unique(np.concatenate([*mixed, np.empty(0, np.uint32)]), return_counts=True)
+    share = np.zeros(len(hashes))
+    _, at, of = np.intersect1d(hashes, other, assume_unique=True, return_indices=True)
+    share[at] = m[of] / max(1, len(mixed))
+    kept = (n > 1) & (n / max(1, len(positive)) > share)
+    return hashes[kept], n[kept]
 
 
 def corpus_counts(df: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
@@ -199,7 +205,7 @@ def train(df: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     positive, mixed = [r[0] for r in rows if r[2]], [r[0] for r in rows if r[3]]
     if not positive:
         return fit_non_negative_pu([], [], 0.5, np.empty(0, np.uint32))
-    hashes, toxic = candidate_features(positive)
+    hashes, toxic = candidate_features(positive, mixed)
     in_all, n_all = corpus_counts(df, hashes)
     vocabulary = select_features(hashes, toxic, len(positive), in_all, n_all)
     sparsity = choose_sparsity(rows, prior, vocabulary)

@@ -350,6 +350,10 @@ def test_feature_selection_against_plain(spark):
         if a / n - b / n_all >= 3 * (max(pooled * (1 - pooled), 1e-12) * (1 / n + 1 / n_all)) ** 0.5:
             clear.add(h)
     assert set(toxicity.select_features(hashes, toxic, n, in_all, n_all).tolist()) == clear
+    mixed = [features.text_features(t) for t, _ in docs[::2]]
+    few, _ = toxicity.candidate_features(positive, mixed)
+    assert set(few.tolist()) == {h for h in want if sum(h in set(x.tolist()) for x in positive) / n
+                                 > sum(h in set(x.tolist()) for x in mixed) / len(mixed)}
 
 
 def test_scorer_sees_the_features_of_training():
