@@ -22,7 +22,7 @@ from featuremill.session import scratch_path
 from featuremill.sources.files import (load_table, read_csv, read_json, register_views,
                                        sanitize_columns, save_table)
 from featuremill.sources.records import read_multiline_csv
-from featuremill.sources.shred import infer_shape, read_variants, shred
+from featuremill.sources.shred import infer_shape, read_variants, shred_lines
 
 # -- sources ----------------------------------------------------------------------------
 
@@ -78,11 +78,9 @@ def q_json_variant(spark, sf):
     path = scratch_path(spark, "events-lines")
     e.select(line.alias("value")).write.text(path)
     variants = read_variants(spark, path)
-    typed, bad = shred(variants, infer_shape(variants))
     size = F.when(F.col("reason") == "no JSON", F.length("line").cast("long"))
-    return typed.select("event_id", "event_type", "value", "props_k", "note", F.lit(None).cast("string").alias("reason"),
-                        F.lit(None).cast("long").alias("bad_chars")).union(
-        bad.select(*[F.lit(None).cast(t) for t in ("long", "string", "double", "long", "string")], "reason", size))
+    return shred_lines(variants, infer_shape(variants)).select(
+        *[F.col(f"typed.{c}") for c in ("event_id", "event_type", "value", "props_k", "note")], "reason", size.alias("bad_chars"))
 
 
 @register("basetable_roundtrip", sql=flagship_sql)

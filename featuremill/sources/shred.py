@@ -28,31 +28,30 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("v", F.try_parse_json("line"))
 
 
-def _family(value: Column) -> Column:
-    """object, array, text, boolean, integer, number, none, other: the kind of a VARIANT."""
-    told = F.schema_of_variant(value)
+def _family(told: Column) -> Column:
+    """object, array, text, boolean, integer, number, none, other: the kind of a VARIANT of the schema ``told``."""
     return (F.when(told.startswith("OBJECT"), "object").when(told.startswith("ARRAY"), "array")
             .when(told == "STRING", "text").when(told == "BOOLEAN", "boolean").when(told == "BIGINT", "integer")
             .when(told.startswith("DECIMAL") | told.isin("DOUBLE", "FLOAT"), "number")
             .when(told.isNull() | (told == "VOID"), "none").otherwise("other"))
 
 
-def _entries(value: Column) -> Column:
-    """The members of an object as (key, value); null for anything else."""
-    return F.map_entries(F.when(_family(value) == "object", value).try_cast("map<string,variant>"))
+#: What the schemas of a family begin with, for a test much shorter than ``_family``: a test of every path on
+#: every line stays below the size up to which the JVM compiles a method.
+_BEGIN = {"object": ("OBJECT",), "array": ("ARRAY",), "text": ("STRING",), "boolean": ("BOOLEAN",), "integer": ("BIGINT",),
+          "number": ("DECIMAL", "DOUBLE", "FLOAT"), "none": ("VOID",)}
 
 
-def paths_of(v: Column) -> Column:
-    """(path, family) of a line's members, with the members of its objects one level down."""
-    none = F.array().cast("array<struct<path:array<string>,family:string>>")
+def _fits(told: Column, families: tuple) -> Column:
+    """Whether ``_family(told)`` is one of ``families``; null for a missing value."""
+    if "other" in families:
+        return _family(told).isin(*families)
+    return told.rlike("^(" + "|".join(b for f in families for b in _BEGIN[f]) + ")")
 
-    def member(path: Column, value: Column) -> Column:
-        return F.struct(path.alias("path"), _family(value).alias("family"))
 
-    return F.coalesce(F.flatten(F.transform(_entries(v), lambda e: F.concat(
-        F.array(member(F.array(e["key"]), e["value"])),
-        F.coalesce(F.transform(_entries(e["value"]), lambda i: member(F.array(e["key"], i["key"]), i["value"])),
-                   none)))), none)
+def _members(value: Column) -> Column:
+    """The members of an object; null for anything else."""
+    return value.try_cast("map<string,variant>")
 
 
 #: Spark type of a path's family, and the families that fit it (a missing value always does).
@@ -74,37 +73,66 @@ class Shape:
         """The path in the syntax of ``variant_get``."""
         return "$" + "".join(f"['{p}']" if '"' in p else f'["{p}"]' for p in path)
 
-    def columns(self) -> list[Column]:
-        out, seen = [], set()
-        for path, family in self.paths:
-            kind = TYPES[family][0]
-            if kind is not None:
-                if self.name(path) in seen:
-                    raise ValueError(f"two paths are named {self.name(path)!r}")
-                seen.add(self.name(path))
-                out.append(F.try_variant_get("v", self.at(path), kind).alias(self.name(path)))
+    def _typed(self) -> list[tuple]:
+        return [(path, TYPES[family][0]) for path, family in self.paths if TYPES[family][0] is not None]
+
+    def names(self) -> list[str]:
+        """The names of ``columns``."""
+        out = [self.name(path) for path, _ in self._typed()]
+        for i, name in enumerate(out):
+            if name in out[:i]:
+                raise ValueError(f"two paths are named {name!r}")
         return out
 
+    def columns(self) -> list[Column]:
+        return [F.try_variant_get("v", self.at(path), kind).alias(name)
+                for (path, kind), name in zip(self._typed(), self.names())]
+
+    def told(self) -> dict[str, Column]:
+        """What ``reason`` and ``beyond`` look at, each worked out once a line: its members, and the schema of
+        the value at each path (null where the line has no such path)."""
+        return {"_members": _members(F.col("v"))} | {
+            f"_told_{i}": F.schema_of_variant(F.try_variant_get("v", self.at(path), "variant"))
+            for i, (path, _) in enumerate(self.paths)}
+
     def reason(self) -> Column:
         """Why a line does not fit: the first path with another type; null if it fits."""
-        out = F.when(F.col("v").isNull(), "no JSON").when(_family(F.col("v")) != "object", "no object")
-        for path, family in self.paths:
-            own = _family(F.try_variant_get("v", self.at(path), "variant"))
-            out = out.when(~own.isin(*TYPES[family][1], "none"), F.lit(f"{self.name(path)} is not {family}"))
+        out = F.when(F.col("v").isNull(), "no JSON").when(F.col("_members").isNull(), "no object")
+        for i, (path, family) in enumerate(self.paths):
+            own = _fits(F.col(f"_told_{i}"), (*TYPES[family][1], "none"))
+            out = out.when(~own, F.lit(f"{self.name(path)} is not {family}"))
         return out
 
     def beyond(self) -> Column:
-        """Whether a line has a path that the schema leaves out."""
-        own = F.array(*[F.array(*map(F.lit, p)) for p, _ in self.paths]) if self.paths else F.array().cast("array<array<string>>")
-        return F.exists(paths_of(F.col("v")), lambda p: ~F.array_contains(own, p["path"]))
+        """Whether a line has a path that the schema leaves out: more members, with those of its objects, than
+        paths of the schema that it has."""
+        members = F.aggregate(F.map_values("_members"), F.size("_members"),
+                              lambda n, x: n + F.coalesce(F.array_size(F.map_keys(_members(x))), F.lit(0)))
+        known = F.filter(F.array(*[F.col(f"_told_{i}").isNotNull() for i in range(len(self.paths))]), lambda k: k)
+        return members > (F.size(known) if self.paths else F.lit(0))
 
 
 def infer_shape(variants: DataFrame, most: int = MOST) -> Shape:
     """The schema of ``read_variants``' result: per path the family of most lines (the first by name
     among equals; integers count as numbers where numbers occur too), for the ``most`` paths found in
     most lines."""
-    counts = (variants.select(F.explode(paths_of(F.col("v"))).alias("p")).where("p.family <> 'none'")
-              .groupBy("p.path", "p.family").agg(F.count(F.lit(1)).alias("n")))
+    # the members of every line, and below them the members of those that are objects; the counts of (member, schema)
+    # pairs are few rows, so families and paths are worked out on these
+    tvf = variants.sparkSession.tvf
+    outer = (variants.select(F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")).alias("v"))
+             .lateralJoin(tvf.variant_explode(F.col("v").outer()))
+             .select("key", "value", F.schema_of_variant("value").alias("_schema")))
+    inside = outer.withColumn("_inside", F.when(F.col("_schema").startswith("OBJECT"), F.col("value")))
+    pairs = (inside.lateralJoin(tvf.variant_explode_outer(F.col("_inside").outer()).toDF("_pos", "_key", "_value"))
+             .groupBy("key", F.substring_index("_schema", "<", 1).alias("told"), F.col("_key").alias("inner"),
+                      F.substring_index(F.schema_of_variant("_value"), "<", 1).alias("inner_told"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias("first")))
+    path = F.array(
+        F.struct(F.array("key").alias("path"), _family(F.col("told")).alias("family"), F.col("first").alias("n")),
+        F.struct(F.array("key", "inner").alias("path"),
+                 F.when(F.col("inner").isNull(), "none").otherwise(_family(F.col("inner_told"))).alias("family"), "n"))
+    counts = (pairs.select(F.inline(path)).where("family <> 'none'")
+              .groupBy("path", "family").agg(F.sum("n").alias("n")))
     per_path = (counts.groupBy("path").agg(F.sum("n").alias("lines"),
                                            F.collect_list(F.struct("family", "n")).alias("families"))
                 .orderBy(F.col("lines").desc(), "path").limit(most).collect())
@@ -117,9 +145,19 @@ def infer_shape(variants: DataFrame, most: int = MOST) -> Shape:
     return Shape(tuple(sorted(decided)))
 
 
+def shred_lines(variants: DataFrame, shape: Shape) -> DataFrame:
+    """Every line in one pass: ``line``, ``reason`` (null where it fits) and ``typed``, a struct of the columns and
+    ``rest``, all null where the line does not fit."""
+    told = (variants.withColumns(shape.told())
+            # a generator: no filter on the reason is moved below it, where each use of ``v`` would parse the line again
+            .select("*", F.explode(F.array(shape.reason())).alias("reason")))
+    fits, columns = F.col("reason").isNull(), [*shape.columns(), F.when(shape.beyond(), F.col("line")).alias("rest")]
+    names = [*shape.names(), "rest"]
+    return told.select("line", "reason", F.struct(*[F.when(fits, c).alias(n) for n, c in zip(names, columns)]).alias("typed"))
+
+
 def shred(variants: DataFrame, shape: Shape) -> tuple[DataFrame, DataFrame]:
     """(typed, quarantined): the lines that fit as typed columns and ``rest`` (the whole line where it has
-    paths that are no column), and the others as (line, reason)."""
-    told = variants.withColumn("reason", shape.reason())
-    typed = told.where("reason is null").select(*shape.columns(), F.when(shape.beyond(), F.col("line")).alias("rest"))
-    return typed, told.where("reason is not null").select("line", "reason")
+    paths that are no column), and the others as (line, reason). Each reads the lines; ``shred_lines`` has both."""
+    lines = shred_lines(variants, shape)
+    return lines.where("reason is null").select("typed.*"), lines.where("reason is not null").select("line", "reason")

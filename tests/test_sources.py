@@ -7,7 +7,7 @@ import random
 import pytest
 
 from featuremill.sources.records import begins_inside_quotes, csv_records, read_multiline_csv, _lines
-from featuremill.sources.shred import Shape, infer_shape, read_variants, shred
+from featuremill.sources.shred import Shape, infer_shape, read_variants, shred, shred_lines
 
 SCHEMA = "id long, text string, x double"
 
@@ -96,6 +96,21 @@ def test_lines_are_typed_or_quarantined(spark, tmp_path):
         (json.dumps({"a": 4, "c": {"e": "no"}}), "c_e is not number")])
 
 
+def test_a_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"a": 1, "c": {"d": true}}\n{"a": "x"}\n{"a": 2, "e": [{"f": 1}], "c": {}}\n3\nno')
+    v = read_variants(spark, str(tmp_path / "lines.json"))
+    shape = infer_shape(v)
+    assert shape.paths == ((("a",), "integer"), (("c",), "object"), (("c", "d"), "boolean"), (("e",), "array"))
+    lines = shred_lines(v, shape)
+    for df in (lines, lines.select("typed.a", "reason"), *shred(v, shape)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson") == 1, plan
+    assert {r.line: (r.reason, *r.typed) for r in lines.collect()} == {
+        '{"a": 1, "c": {"d": true}}': (None, 1, True, None, None), '{"a": "x"}': ("a is not integer", *4 * [None]),
+        '{"a": 2, "e": [{"f": 1}], "c": {}}': (None, 2, None, '[{"f":1}]', None),
+        "3": ("no object", *4 * [None]), "no": ("no JSON", *4 * [None])}
+
+
 def test_paths_beyond_the_columns_stay(spark, tmp_path):
     lines = [{"a": i, f"key{i}": i} for i in range(30)]
     shape, typed, bad = _shape_of(spark, tmp_path, lines, most=2)
