@@ -367,9 +367,10 @@ def q_tune_rf(spark, sf):
 
 @register("ml_tune_gbt")
 def q_tune_gbt(spark, sf):
-    """The boosted-tree grid whole: 18 settings with 10 folds, resumable (``operators.search``)."""
+    """The boosted-tree grid whole: 18 settings with 10 folds, resumable (``operators.search``), each
+    fit on the weighted cells of its fold."""
     train, _ = _featurised(spark, sf)
-    grid = GridSearch(M.gbt(**M.GBT_DEFAULTS), M.GBT_GRID, scratch_path(spark, "gbt-search"))
+    grid = GridSearch(M.gbt(**M.GBT_DEFAULTS), M.GBT_GRID, scratch_path(spark, "gbt-search"), weighted=True)
     return grid.table(spark, grid.run(train, "doc_id"))
 
 
